@@ -88,6 +88,11 @@ def contains_any(c: Column, words: Sequence[str]) -> Column:
     return F.exists(F.array(*[F.lit(w) for w in words]).cast("array<string>"), lambda w: F.contains(c, w))
 
 
+def to_base64(content: Column) -> Column:
+    """Base64 on one line, whatever the session says about line breaks."""
+    return F.replace(F.base64(content), F.lit("\r\n"), F.lit(""))
+
+
 def encoding_rule(enc: Column) -> Column:
     return F.when(F.contains(enc, F.lit("ascii")), F.lit("utf-8")).otherwise(enc)
 

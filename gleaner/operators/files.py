@@ -13,8 +13,9 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from ..functions.text import base_name, file_extension, line_count, size_mb, strip_text
+from ..functions.text import base_name, file_extension, line_count, size_mb, strip_text, to_base64
 from .models import with_file_type
 from .ordinals import with_key_totals
 
@@ -154,7 +155,7 @@ def _docx_text(data: bytes) -> str | None:
     return "\n".join(out)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def docx_text(frames: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for s in frames:
         yield s.map(lambda b: None if b is None else _docx_text(b))
@@ -170,7 +171,7 @@ def files_to_text(files: DataFrame, raw_pdf: Column | None = None) -> DataFrame:
     word = docx_text(F.when(kind == "ms-wordx", content))
     text = (
         F.when(kind == "text", decoded)
-        .when(kind.isin("pdf", "image"), F.base64(content))
+        .when(kind.isin("pdf", "image"), to_base64(content))
         .when(kind == "ms-wordx", F.col("__docx"))
     )
     return (

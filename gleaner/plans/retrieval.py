@@ -31,6 +31,17 @@ def search(rows: DataFrame, questions: DataFrame, cfg: JobConfig) -> DataFrame:
     return attach_documents(hits, rows, questions, cfg.top_k, "document")
 
 
+def search_by_model(passages_: DataFrame, questions: DataFrame, models: tuple[str, ...], k: int) -> DataFrame:
+    """Hits of the same questions under each hashed model, with a ``model`` column."""
+    out = None
+    for model in models:
+        width = int(model.removeprefix("hash-"))
+        rows, asked = embed(passages_, "document", model), embed(questions, "question", model)
+        hits = top_k(rows, asked, k, width).withColumn("model", F.lit(model))
+        out = hits if out is None else out.unionByName(hits)
+    return out
+
+
 def _prompted(contexts: DataFrame, questions: DataFrame, prompt) -> DataFrame:
     joined = questions.join(contexts, "query_id")
     return joined.select("query_id", prompt(F.col("context"), F.col("question")).alias("prompt"))

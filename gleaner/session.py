@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from dataclasses import dataclass, field
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,3 +76,17 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_gleaner_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="gleaner-ship-")) / "gleaner.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(root.rglob("*.py")):
+            z.write(file, file.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._gleaner_shipped = True

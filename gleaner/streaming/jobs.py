@@ -12,16 +12,18 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 
-def _earlier(spark: SparkSession, path: str, batch_id: int, schema) -> DataFrame:
+def _earlier(spark: SparkSession, path: str, batch_id: int, column: T.StructField) -> DataFrame:
+    """One column of the rows written by earlier batches."""
+    schema = T.StructType([column, T.StructField("batch_id", T.IntegerType())])
     try:
-        return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/batch_id=*").where(
-            F.col("batch_id") < batch_id
-        )
+        rows = spark.read.schema(schema).option("basePath", path).parquet(f"{path}/batch_id=*")
     except AnalysisException:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], T.StructType([column]))
+    return rows.where(F.col("batch_id") < batch_id).select(column.name)
 
 
 def _write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
@@ -35,9 +37,8 @@ def stream_ingest(
 
     def add(batch: DataFrame, batch_id: int) -> None:
         rows = to_passages(batch).dropDuplicates(["id"])
-        schema = rows.schema.add("batch_id", "int") if "batch_id" not in rows.columns else rows.schema
-        known = _earlier(batch.sparkSession, target, batch_id, schema).select("id")
-        _write_batch(rows.drop("batch_id").join(known, "id", "left_anti"), target, batch_id)
+        known = _earlier(batch.sparkSession, target, batch_id, rows.schema["id"])
+        _write_batch(rows.join(known, "id", "left_anti").select(rows.columns), target, batch_id)
 
     return (
         samples.writeStream.foreachBatch(add)
