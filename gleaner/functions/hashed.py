@@ -46,20 +46,23 @@ def hashed_counts(text: Column, width: int) -> Column:
             ),
         )
 
-    buckets = F.array_sort(F.transform(tokens(text), lambda t: bucket(t, width)))
+    buckets = F.sort_array(F.transform(tokens(text), lambda t: bucket(t, width)))
     return let(buckets, lambda b: F.when(F.size(b) > 0, runs(b))).cast(SPARSE)
 
 
 def densify(sparse: Column, width: int) -> Column:
     """ARRAY<DOUBLE> of ``width`` numbers."""
-    lookup = F.map_from_arrays(sparse["indices"], sparse["values"])
-    return let(
-        lookup,
-        lambda m: F.when(
-            sparse.isNotNull(),
-            F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.coalesce(F.try_element_at(m, i), F.lit(0.0))),
-        ),
-    )
+    zero = F.lit(0.0)
+
+    def filled(v: Column) -> Column:
+        """Runs of zeros between the entries, one pass over the width."""
+        i, x = v["indices"], v["values"]
+        gap = lambda at, j: at - F.coalesce(F.get(i, j - 1), F.lit(-1)) - 1
+        runs = F.transform(i, lambda at, j: F.concat(F.array_repeat(zero, gap(at, j)), F.array(F.get(x, j))))
+        tail = F.lit(width - 1) - F.coalesce(F.try_element_at(i, F.lit(-1)), F.lit(-1))
+        return F.when(v.isNotNull(), F.concat(F.flatten(runs), F.array_repeat(zero, tail)))
+
+    return let(sparse, filled)
 
 
 def unit_length(sparse: Column) -> Column:

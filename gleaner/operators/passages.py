@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.rows import unnest_rows
 from ..functions.text import first_present
 
 
@@ -24,8 +25,8 @@ def _zipped(df: DataFrame) -> DataFrame:
 def unnest(df: DataFrame, joiner: str, id_infix: str, first: int) -> DataFrame:
     """One row per context entry: ``id, document`` and the sample's other columns."""
     others = [c for c in df.columns if c not in ("id", "context")]
-    exploded = _zipped(df).select("*", F.posexplode("entries").alias("ordinal", "entry"))
-    ordinal = (F.col("ordinal") + F.lit(first)).cast("bigint")
+    exploded = unnest_rows(_zipped(df), "entries", "ordinal", "entry", "id", *others)
+    ordinal = F.col("ordinal") + F.lit(first)
     return exploded.select(
         F.concat(F.col("id"), F.lit(id_infix), ordinal.cast("string")).alias("id"),
         F.col("id").alias("sample_id"),

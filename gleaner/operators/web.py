@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.html import clean_url, page_contents, page_hrefs, page_text, page_title
+from ..functions.rows import unnest_rows
 from ..functions.text import present
 from ..session import materialise
 from .ordinals import join_hot, paged_text
@@ -42,11 +43,11 @@ def relevant_links(
     parsed: DataFrame, kinds: dict[str, str] = LINK_KINDS, drop: str = LINK_DROP
 ) -> DataFrame:
     """One row per link to follow: ``page_id, link_pos, type, url``; rules are parameters."""
-    rows = parsed.select("page_id", F.col("url").alias("base"), F.posexplode("links").alias("link_pos", "link"))
+    rows = unnest_rows(parsed, "links", "link_pos", "link", "page_id", F.col("url").alias("base"))
     kind = link_kind(F.col("link"), kinds)
     kept = rows.where(kind.isNotNull() & ~F.col("link").rlike(f"(?i){drop}"))
     return kept.select(
-        "page_id", F.col("link_pos").cast("bigint").alias("link_pos"), kind.alias("type"),
+        "page_id", "link_pos", kind.alias("type"),
         clean_url(F.col("link"), F.col("base")).alias("url"),
     )
 
@@ -58,11 +59,9 @@ def links_json(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     schema = "links ARRAY<STRUCT<type: STRING, url: STRING>>"
     parsed = replies.withColumn("links", F.from_json("reply", schema)["links"])
-    rows = parsed.where("links IS NOT NULL").select(
-        "page_id", F.posexplode("links").alias("link_pos", "link")
-    )
+    rows = unnest_rows(parsed, "links", "link_pos", "link", "page_id")
     good = rows.select(
-        "page_id", F.col("link_pos").cast("bigint").alias("link_pos"),
+        "page_id", "link_pos",
         F.coalesce(present(F.col("link.type")), F.lit("other")).alias("type"), F.col("link.url").alias("url"),
     )
     return good, parsed.where("links IS NULL").select("page_id", "reply")

@@ -9,6 +9,7 @@ from ..operators import chats
 from ..operators import files as fl
 from ..operators.models import route, with_model
 from ..operators.ordinals import paged_text
+from ..session import materialise
 from .intake import file_intake
 
 
@@ -61,9 +62,11 @@ def chat_request(
     """
     checked = route(requests.withColumn("reason", chats.invalid_request(configured)))
     taken = file_intake(files, checked.select(batch, "chat_id", "model_nm"), batch, cap)
+    taken = materialise(taken.select("chat_id", "path", "name", "accepted", "error", "part"), "taken-files")
     judged = with_model(checked.join(_file_verdicts(taken), "chat_id", "left")).withColumn(
         "error", F.coalesce("reason", "error", "gate", F.when(F.col("failed") > 0, F.lit(REFUSED)))
     )
+    judged = materialise(judged, "judged-requests")
     good, bad = judged.where("error IS NULL"), judged.where("error IS NOT NULL")
 
     past = history.join(good.select("chat_id"), "chat_id", "left_semi")

@@ -16,7 +16,8 @@ from ..operators import context, passages, prompts
 from ..operators.embedding import embed
 from ..operators.nearest import attach_documents, top_k
 from ..session import JobConfig
-from ..sources.collection import Collection, flat_index
+from ..operators.ordinals import with_ordinal
+from ..sources.collection import Collection
 from ..sources.corpus import ingest_limit
 
 
@@ -80,7 +81,7 @@ def rag_gemini(samples: DataFrame, questions: DataFrame, cfg: JobConfig, store:
     return _prompted(ctx, questions, prompts.prompt_gemini)
 
 
-def _flat_vectors(df: DataFrame, text: str, width: int) -> DataFrame:
+def _unit_vectors(df: DataFrame, text: str, width: int) -> DataFrame:
     """Dense unit vectors in single precision, as the flat index stores them."""
     sparse = embed(df, text, f"hash-{width}").where("vector IS NOT NULL")
     unit = unit_length(F.col("vector"))
@@ -90,13 +91,14 @@ def _flat_vectors(df: DataFrame, text: str, width: int) -> DataFrame:
 def rag_flat(texts: DataFrame, questions: DataFrame, widths: tuple[int, ...], k: int = 3) -> DataFrame:
     """The same questions against one flat index per embedding width.
 
-    ``texts`` has ``key, text``; a hit's text comes back by position.
+    ``texts`` has ``key, text``; positions are given once, in key order, and shared
+    by the indexes; a hit's text comes back by position.
     """
     out = None
+    placed = with_ordinal(texts, ["key"], (), "id").withColumnRenamed("text", "document")
     for width in widths:
-        index, _ = flat_index(_flat_vectors(texts, "text", width), ["key"], width)
-        asked = _flat_vectors(questions, "question", width)
-        corpus = index.select(F.col("pos").alias("id"), "vector", F.col("text").alias("document"))
+        corpus = _unit_vectors(placed, "document", width)
+        asked = _unit_vectors(questions, "question", width)
         hits = top_k(corpus, asked, k, width, "l2")
         ctx = context.context_plain(attach_documents(hits, corpus, questions, k, "document"))
         one = _prompted(ctx, questions, prompts.prompt_flat).withColumn("model", F.lit(f"hash-{width}"))

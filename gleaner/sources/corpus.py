@@ -8,10 +8,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.rows import unnest_rows
+
 # Fixed value: the widest ingest of the one-document-per-sample job (rows 0..1000).
 HARD_CAP = 1001
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Redistribute a scan that has fewer splits than the cluster has cores.
+
+    A small table in few row groups would be worked on by few tasks. A large one
+    has splits enough and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def corpus_scan(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None, **partition: str
 ) -> DataFrame:
@@ -64,7 +78,7 @@ def line_scan(spark: SparkSession, path: str, glob: str | None = None) -> DataFr
 
 def text_lines(df: DataFrame, path: str, text: str) -> DataFrame:
     """``path, line`` from a column of whole texts."""
-    return df.select(F.col(path).alias("path"), F.explode(F.split(text, "\n")).alias("line"))
+    return unnest_rows(df, F.split(text, "\n"), "pos", "line", F.col(path).alias("path")).drop("pos")
 
 
 def csv_to_pipe(spark: SparkSession, source: str, target: str) -> None:

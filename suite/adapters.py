@@ -5,15 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleaner.functions.rows import unnest_rows
 from gleaner.operators.models import MODELS, with_file_type
 from gleaner.session import JobConfig, ship_package
+from gleaner.sources.corpus import spread
 
 FULL = JobConfig()
 
 
+# Tables with long texts per row, and their keys.
+HEAVY = {"documents": ("doc_id",), "pages": ("page_id",), "conversations": ("conv_id", "turn")}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     ship_package(spark)
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread(rows, *HEAVY[name]) if name in HEAVY else rows
 
 
 def samples(spark: SparkSession, sf: str) -> DataFrame:
@@ -228,9 +235,8 @@ MEBIBYTES_SQL = """(length * 100 // 1048576 + CASE WHEN (length * 100 % 1048576)
 def lines(spark: SparkSession, sf: str) -> DataFrame:
     """Lower-cased sentences as source lines, so that some start like an import."""
     path = F.concat(F.lit("/src/"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".py"))
-    return table(spark, sf, "documents").select(
-        path.alias("path"), F.explode(F.split(F.lower("text"), r"\n|\. ")).alias("line")
-    )
+    pieces = F.split(F.lower("text"), r"\n|\. ")
+    return unnest_rows(table(spark, sf, "documents"), pieces, "pos", "line", path.alias("path")).drop("pos")
 
 
 LINES_SQL = """
@@ -290,8 +296,8 @@ def followed_links(spark: SparkSession, sf: str) -> DataFrame:
     from gleaner.functions.html import clean_url
 
     parsed = pages(spark, sf)
-    own = parsed.select("page_id", "url", F.posexplode("links").alias("p", "link")).select(
-        "page_id", F.col("p").cast("bigint").alias("link_pos"), F.lit("site page").alias("type"),
+    own = unnest_rows(parsed, "links", "link_pos", "link", "page_id", "url").select(
+        "page_id", "link_pos", F.lit("site page").alias("type"),
         clean_url(F.col("link"), F.col("url")).alias("url"),
     )
     every = table(spark, sf, "pages")

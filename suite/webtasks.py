@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions import html as ht
 from gleaner.functions import text as tx
+from gleaner.functions.rows import unnest_rows
 from gleaner.operators import modules as mo
 from gleaner.operators import prompts as pr
 from gleaner.operators import web as wb
@@ -40,8 +41,7 @@ LINKS_SQL = f"""WITH {ad.PAGES_SQL} SELECT page_id, generate_subscripts(links, 1
 
 @query("page_hrefs", LINKS_SQL)
 def page_hrefs(spark, sf):
-    rows = ad.table(spark, sf, "pages").select("page_id", F.posexplode(ht.page_hrefs(F.col("html"))).alias("pos", "link"))
-    return rows.withColumn("pos", F.col("pos").cast("bigint"))
+    return unnest_rows(ad.table(spark, sf, "pages"), ht.page_hrefs(F.col("html")), "pos", "link", "page_id")
 
 
 @query("page_links", f"WITH {ad.PAGES_SQL} SELECT page_id, array_to_string(links, chr(10)) AS links, len(links) AS n FROM parsed")
@@ -60,7 +60,7 @@ def page_links(spark, sf):
 def nonempty_links(spark, sf):
     """Links holding an ``e`` are blanked first, so that there is something to drop."""
     blanked = F.transform("links", lambda x: F.when(F.contains(x, F.lit("e")), F.lit("")).otherwise(x))
-    return ad.pages(spark, sf).select("page_id", F.explode(ht.nonempty_links(blanked)).alias("link"))
+    return unnest_rows(ad.pages(spark, sf), ht.nonempty_links(blanked), "pos", "link", "page_id").drop("pos")
 
 
 KINDS = {"about page": "th|der", "careers page": "en|le"}
@@ -85,7 +85,7 @@ def relevant_links(spark, sf):
     SELECT page_id, link, regexp_extract(base, '^([a-z]+://[^/?#]+)', 1) || '/x' || replace(link, '/', '') AS url FROM l""",
 )
 def clean_url(spark, sf):
-    rows = ad.pages(spark, sf).select("page_id", "url", F.explode("links").alias("link"))
+    rows = unnest_rows(ad.pages(spark, sf), "links", "pos", "link", "page_id", "url")
     spaced = F.concat(F.lit(" /x "), F.replace("link", F.lit("/"), F.lit(" ")))
     return rows.select("page_id", "link", ht.clean_url(spaced, F.col("url")).alias("url"))
 
