@@ -329,7 +329,7 @@ UNION ALL SELECT chat_id, CASE WHEN by_file THEN 0 END, NULL, NULL, NULL, NULL,
 def chat_request(spark, sf):
     requests, history = _chat_requests(spark, sf)
     rows = pc.chat_request(requests, history, ad.files(spark, sf), "batch", CONFIGURED, GATE)
-    files = F.slice("parts", 2, 2147483647)
+    files = F.filter("parts", lambda p, i: i > 0)
     texts = F.transform(files, lambda p: F.coalesce(p["text"], p["data"]))
     joined = F.when(F.size("parts") > 1, F.array_join(texts, "\n"))
     return rows.select(
