@@ -1,83 +1,62 @@
 """Approximate nearest neighbours: vectors in coarse cells, a few cells per question.
 
-The cells are folders of a partitioned table, so a search reads only the probed
-ones. Inside a probed cell the comparison is exact.
+The cells are folders of a partitioned table, so a search reads only those that
+some question probes. One scan serves all questions; inside a cell the comparison
+is exact.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.vectors import fits_width, normalize
 from .nearest import top_k
 
 
-def _cell(vector: Column, centres: np.ndarray) -> Column:
-    """Number of the nearest centre; the first wins ties."""
-    distances = F.array(*[_squared(vector, c) for c in centres])
-    return F.array_position(distances, F.array_min(distances)).cast("int") - 1
-
-
-def _squared(vector: Column, centre: np.ndarray) -> Column:
-    point = F.lit([float(x) for x in centre])
-    return F.aggregate(
-        F.zip_with(vector.cast("array<double>"), point, lambda x, y: (x - y) * (x - y)),
-        F.lit(0.0),
-        lambda acc, x: acc + x,
-    )
-
-
 @dataclass(frozen=True)
 class CellIndex:
     spark: SparkSession
     path: str
-    centres: np.ndarray
     width: int
 
     def rows(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+        return self.spark.read.parquet(f"{self.path}/rows")
+
+    def centres(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/centres")
 
     def probes(self, queries: DataFrame, probe: int) -> DataFrame:
-        """``query_id, vector, cell``: the nearest cells of each question."""
-        unit = normalize(F.col("vector"))
-        scored = F.array(
-            *[F.struct(_squared(unit, c).alias("d"), F.lit(i).alias("cell")) for i, c in enumerate(self.centres)]
-        )
-        near = F.slice(F.array_sort(scored), 1, probe)
-        return queries.select("query_id", "vector", F.explode(F.transform(near, lambda s: s["cell"])).alias("cell"))
+        """``query_id, vector, cells``: the nearest cells of each question."""
+        unit = queries.withColumn("vector", normalize(F.col("vector")))
+        near = top_k(self.centres(), unit, probe, self.width, "l2")
+        cells = near.groupBy("query_id").agg(F.collect_list("id").alias("cells"))
+        return queries.join(cells, "query_id")
 
     def search(self, queries: DataFrame, k: int, probe: int) -> DataFrame:
-        """Top k per question over its probed cells.
-
-        Cells probed by the same number of questions are read once: each cell is
-        one pruned folder scanned against the questions that probe it, and the k
-        best per question are merged.
-        """
-        from pyspark.sql import Window
-
+        """Top k per question over its probed cells."""
         probed = self.probes(queries, probe)
-        cells = sorted(r["cell"] for r in probed.select("cell").distinct().collect())
-        parts = None
-        for cell in cells:
-            asked = probed.where(F.col("cell") == cell)
-            part = top_k(self.rows().where(F.col("cell") == cell), asked, k, self.width)
-            parts = part if parts is None else parts.unionByName(part)
-        by = Window.partitionBy("query_id").orderBy("distance", "id")
-        return parts.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
+        wanted = probed.select(F.explode("cells").alias("cell")).distinct()
+        rows = self.rows().join(F.broadcast(wanted), "cell", "left_semi")
+        return top_k(rows, probed, k, self.width)
 
 
 def build(corpus: DataFrame, path: str, width: int, cells: int, seed: int = 7, max_iter: int = 10) -> CellIndex:
-    """Cut ``corpus(id, vector)`` into cells by k-means on unit vectors and write them."""
-    unit = corpus.where(fits_width(F.col("vector"), width)).withColumn("unit", normalize(F.col("vector")))
-    features = unit.select(array_to_vector("unit").alias("features"))
-    model = KMeans(k=cells, seed=seed, maxIter=max_iter).fit(features)
-    centres = np.array(model.clusterCenters())
-    placed = unit.withColumn("cell", _cell(F.col("unit"), centres)).drop("unit")
-    placed.write.mode("overwrite").partitionBy("cell").parquet(path)
-    return CellIndex(corpus.sparkSession, path, centres, width)
+    """Cut ``corpus(id, vector)`` into cells by k-means on unit vectors and write them.
+
+    The centres are as many rows as there are cells, a parameter; the rows of one
+    cell, however many, are written by the tasks that scanned them.
+    """
+    spark = corpus.sparkSession
+    fit = corpus.where(fits_width(F.col("vector"), width))
+    unit = fit.withColumn("features", array_to_vector(normalize(F.col("vector"))))
+    model = KMeans(k=cells, seed=seed, maxIter=max_iter, predictionCol="cell").fit(unit.select("features"))
+    model.transform(unit).drop("features").write.mode("overwrite").partitionBy("cell").parquet(f"{path}/rows")
+    centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
+    table = spark.createDataFrame(centres, "id INT, vector ARRAY<DOUBLE>")
+    table.write.mode("overwrite").parquet(f"{path}/centres")
+    return CellIndex(spark, path, width)

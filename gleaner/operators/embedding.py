@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -59,10 +60,40 @@ def embed_batch(df: DataFrame, text: str, factory: EmbedFactory, batch_rows: int
     return df.mapInPandas(run, schema)
 
 
-def generate_batch(df: DataFrame, prompt: str, factory: GenerateFactory, batch_rows: int = 16) -> DataFrame:
+def _timed(call: Callable, timeout: float | None) -> Callable:
+    """``call`` that gives up waiting after ``timeout`` seconds."""
+    if timeout is None:
+        return call
+
+    def limited(texts: Sequence[str]) -> Sequence[str]:
+        box: list = []
+
+        def work() -> None:
+            try:
+                box.append((call(texts), None))
+            except Exception as e:  # noqa: BLE001
+                box.append((None, e))
+
+        worker = threading.Thread(target=work, daemon=True)
+        worker.start()
+        worker.join(timeout)
+        if not box:
+            raise TimeoutError(f"no reply in {timeout:g} s")
+        reply, error = box[0]
+        if error is not None:
+            raise error
+        return reply
+
+    return limited
+
+
+def generate_batch(
+    df: DataFrame, prompt: str, factory: GenerateFactory, batch_rows: int = 16, timeout: float | None = 30.0
+) -> DataFrame:
     """Add ``response, error``: a failed call becomes a value and the job goes on.
 
-    A failed batch is retried row by row, so one bad prompt costs only itself.
+    A failed or late batch is retried row by row, so one bad prompt costs only
+    itself. ``timeout`` is in seconds per call.
     """
     from pyspark.sql.types import StringType, StructType
 
@@ -76,7 +107,7 @@ def generate_batch(df: DataFrame, prompt: str, factory: GenerateFactory, batch_r
         return (reply, None) if reply else (None, "empty response")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        call = factory()
+        call = _timed(factory(), timeout)
         for pdf in frames:
             for part in _chunks(pdf, batch_rows):
                 texts = part[prompt].tolist()

@@ -52,11 +52,25 @@ def _matrix(column: pa.Array | pa.ChunkedArray, width: int) -> tuple[np.ndarray,
 def _fold(a: np.ndarray) -> np.ndarray:
     """Row sums added left to right: the same order for every row and every engine."""
     total = np.zeros(a.shape[0])
-    for d in range(a.shape[1]):
-        total += a[:, d]
+    for column in np.ascontiguousarray(a.T):
+        total += column
     return total
 
 
+def _fewest_copies(x: np.ndarray, ids: pa.Array, k: int) -> np.ndarray:
+    """Row numbers left when of equal vectors only the k smallest ids stay.
+
+    Further copies cannot be hits: they are as far away and lose the tie.
+    """
+    whole = np.ascontiguousarray(x).view(np.dtype((np.void, x.dtype.itemsize * x.shape[1]))).ravel()
+    _, group = np.unique(whole, return_inverse=True)
+    pairs = pa.table({"group": group, "id": ids})
+    order = pc.sort_indices(pairs, sort_keys=[("group", "ascending"), ("id", "ascending")]).to_numpy()
+    sorted_groups = group[order]
+    place = np.arange(len(order)) - np.searchsorted(sorted_groups, sorted_groups, side="left")
+    return np.sort(order[place < k])
+
+
 def _exact(q: np.ndarray, x: np.ndarray, nq: np.ndarray, nx: np.ndarray, metric: str) -> np.ndarray:
     if metric == "cosine":
         return 1.0 - _fold(q * x) / np.sqrt(nq * nx)
@@ -72,7 +86,8 @@ class _Best:
         self.kth = np.full(len(queries), np.inf)
         self.table: pa.Table | None = None
 
-    def add(self, x: np.ndarray, ids: pa.Array) -> None:
+    def add(self, x: np.ndarray, ids: pa.Array, which: np.ndarray) -> None:
+        """Compare corpus rows with the questions numbered ``which``."""
         nx = _fold(x**2)
         if self.metric == "cosine":
             keep = np.flatnonzero(nx > 0)
@@ -80,30 +95,35 @@ class _Best:
         if not len(x):
             return
         parts = [] if self.table is None else [self.table]
-        for at in range(0, len(self.q), _QUERY_BLOCK):
-            parts += self._candidates(at, min(at + _QUERY_BLOCK, len(self.q)), x, nx, ids)
+        for at in range(0, len(which), _QUERY_BLOCK):
+            parts += self._candidates(which[at : at + _QUERY_BLOCK], x, nx, ids)
         if parts:
             self._shrink(pa.concat_tables(parts))
 
-    def _candidates(self, lo: int, hi: int, x, nx, ids) -> list[pa.Table]:
-        q, nq = self.q[lo:hi], self.nq[lo:hi]
+    def _candidates(self, which: np.ndarray, x, nx, ids) -> list[pa.Table]:
+        """Rows within rounding of the k nearest, with their exact distances."""
+        q, nq = self.q[which], self.nq[which]
         near = q @ x.T
         if self.metric == "cosine":
             near = 1.0 - near / np.sqrt(nq)[:, None] / np.sqrt(nx)[None, :]
-            slack = np.full(hi - lo, 1e-9)
+            slack = np.full(len(which), 1e-9)
         else:
             near = nq[:, None] + nx[None, :] - 2.0 * near
             slack = 1e-9 * (1.0 + nq + nx.max())
         k = min(self.k, len(x))
-        bound = np.partition(near, k - 1, axis=1)[:, k - 1]
-        bound = np.minimum(bound, self.kth[lo:hi]) + slack
+        bound = np.partition(near, k - 1, axis=1)[:, k - 1] if len(x) >= self.k else np.full(len(which), np.inf)
+        bound = np.minimum(bound, self.kth[which]) + slack
         qi, xi = np.nonzero(near <= bound[:, None])
+        if len(qi) > 4 * self.k * len(which) + _PAIR_BLOCK // 8:
+            few = np.zeros(len(x), dtype=bool)
+            few[_fewest_copies(x, ids, self.k)] = True
+            qi, xi = qi[few[xi]], xi[few[xi]]
         out = []
         for s in range(0, len(qi), _PAIR_BLOCK):
             a, b = qi[s : s + _PAIR_BLOCK], xi[s : s + _PAIR_BLOCK]
             exact = _exact(q[a], x[b], nq[a], nx[b], self.metric)
             out.append(
-                pa.table({"q": pa.array(a + lo, pa.int64()), "distance": exact, "id": pc.take(ids, pa.array(b))})
+                pa.table({"q": pa.array(which[a], pa.int64()), "distance": exact, "id": pc.take(ids, pa.array(b))})
             )
         return out
 
@@ -132,13 +152,42 @@ def _hits(best: _Best, query_ids: pa.Array, schema: pa.Schema) -> Iterator[pa.Re
         yield from t.cast(schema).combine_chunks().to_batches()
 
 
-def _usable_questions(table: pa.Table, width: int, metric: str) -> tuple[np.ndarray, pa.Array]:
-    q, rows = _matrix(table["vector"], width)
-    ids = table["query_id"].combine_chunks()
-    if metric == "cosine":
-        some = (q != 0).any(axis=1)
-        q, rows = q[some], rows[some]
-    return q, pc.take(ids, pa.array(rows))
+class _Questions:
+    """A block of question vectors, and which of them ask which cell."""
+
+    def __init__(self, table: pa.Table, width: int, metric: str):
+        q, rows = _matrix(table["vector"], width)
+        if metric == "cosine":
+            some = (q != 0).any(axis=1)
+            q, rows = q[some], rows[some]
+        kept = table.take(pa.array(rows)).combine_chunks()
+        self.vectors = q
+        self.ids = kept["query_id"].combine_chunks()
+        self.by_cell: dict[int, np.ndarray] | None = None
+        if "cells" in table.column_names:
+            cells = kept["cells"].combine_chunks()
+            owner = np.repeat(np.arange(len(q)), pc.list_value_length(cells).to_numpy(zero_copy_only=False))
+            flat = pc.list_flatten(cells).to_numpy(zero_copy_only=False)
+            self.by_cell = {int(c): owner[flat == c] for c in np.unique(flat)}
+
+    def scan(self, batches: Iterator[pa.RecordBatch], k: int, metric: str) -> _Best:
+        best = _Best(self.vectors, k, metric)
+        everyone = np.arange(len(self.vectors))
+        for batch in batches:
+            x, rows = _matrix(batch.column("vector"), self.vectors.shape[1])
+            if not len(everyone) or not len(rows):
+                continue
+            ids = pc.take(batch.column("id"), pa.array(rows))
+            if self.by_cell is None:
+                best.add(x, ids, everyone)
+                continue
+            cell = np.asarray(batch.column("cell"))[rows]
+            for c in np.unique(cell):
+                asking = self.by_cell.get(int(c))
+                if asking is not None:
+                    at = np.flatnonzero(cell == c)
+                    best.add(x[at], pc.take(ids, pa.array(at)), asking)
+        return best
 
 
 def _schemas(corpus: DataFrame, queries: DataFrame) -> tuple[T.StructType, pa.Schema]:
@@ -172,12 +221,15 @@ def top_k(
 
     ``corpus(id, vector)`` and ``queries(query_id, vector)``; a vector is an array
     or a sparse struct. Ties go to the smaller id. Rows whose vector is NULL, of
-    another width, or (cosine) all zero are never hits.
+    another width, or (cosine) all zero are never hits. With a column ``cell`` in
+    the corpus and ``cells`` (array) in the questions, a question sees only rows of
+    its cells.
     """
     if metric not in ("cosine", "l2"):
         raise ValueError(f"unknown metric: {metric}")
-    corpus = corpus.select("id", "vector")
-    queries = queries.select("query_id", "vector")
+    by_cell = "cell" in corpus.columns and "cells" in queries.columns
+    corpus = corpus.select("id", "vector", *(["cell"] if by_cell else []))
+    queries = queries.select("query_id", "vector", *(["cells"] if by_cell else []))
     row_bound = min(max_broadcast_rows, max(1, MAX_BROADCAST_BYTES // (8 * width)))
     sample = queries.limit(row_bound + 1).toArrow()
     if sample.num_rows <= row_bound:
@@ -189,17 +241,11 @@ def top_k(
 
 def _broadcast_hits(corpus, queries, table: pa.Table, k: int, width: int, metric: str) -> DataFrame:
     spark_schema, arrow_schema = _schemas(corpus, queries)
-    q, ids = _usable_questions(table, width, metric)
-    shared = corpus.sparkSession.sparkContext.broadcast((q, ids))
+    shared = corpus.sparkSession.sparkContext.broadcast(_Questions(table, width, metric))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vectors, query_ids = shared.value
-        best = _Best(vectors, k, metric)
-        for batch in batches:
-            x, rows = _matrix(batch.column("vector"), width)
-            if len(vectors) and len(rows):
-                best.add(x, pc.take(batch.column("id"), pa.array(rows)))
-        yield from _hits(best, query_ids, arrow_schema)
+        asked = shared.value
+        yield from _hits(asked.scan(batches, k, metric), asked.ids, arrow_schema)
 
     return corpus.mapInArrow(scan, spark_schema)
 
@@ -228,14 +274,9 @@ def _block_hits(
     right = queries.withColumn("qb", block("query_id", q_blocks)).withColumn("cb", copies(c_blocks))
 
     def scan(c: pa.Table, q: pa.Table) -> pa.Table:
-        vectors, query_ids = _usable_questions(q, width, metric)
-        best = _Best(vectors, k, metric)
-        for batch in c.to_batches(max_chunksize=10_000):
-            x, at = _matrix(batch.column("vector"), width)
-            if len(vectors) and len(at):
-                best.add(x, pc.take(batch.column("id"), pa.array(at)))
-        found = list(_hits(best, query_ids, arrow_schema))
-        return pa.Table.from_batches(found, arrow_schema)
+        asked = _Questions(q, width, metric)
+        best = asked.scan(c.to_batches(max_chunksize=10_000), k, metric)
+        return pa.Table.from_batches(list(_hits(best, asked.ids, arrow_schema)), arrow_schema)
 
     return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(scan, spark_schema)
 

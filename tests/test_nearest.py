@@ -51,6 +51,22 @@ def test_top_k_matches_brute_force(spark, metric, limit):
     assert got == brute(rows, queries, 7, metric)
 
 
+def test_a_third_of_the_rows_are_copies(spark):
+    rows, queries = data(n=4000, copies=3000)
+    c = spark.createDataFrame(rows, VEC).coalesce(1)
+    q = spark.createDataFrame(queries, "query_id BIGINT, vector ARRAY<FLOAT>")
+    got = sorted((r.query_id, r["rank"], r.id) for r in nearest.top_k(c, q.where("query_id = 99"), 5, 8).collect())
+    assert got == [(99, 1, 5)] + [(99, r, 998 + r) for r in range(2, 6)]
+
+
+def test_fewest_copies():
+    import pyarrow as pa
+
+    x = np.array([[1.0, 0.0], [2.0, 0.0], [1.0, 0.0], [1.0, 0.0], [2.0, 0.0]])
+    kept = nearest._fewest_copies(x, pa.array([9, 1, 3, 5, 0]), 2)
+    assert kept.tolist() == [1, 2, 3, 4]
+
+
 def test_several_blocks_give_the_same(spark):
     rows, queries = data()
     c, q = spark.createDataFrame(rows, VEC), spark.createDataFrame(queries, "query_id BIGINT, vector ARRAY<FLOAT>")
