@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 
+# Most rows of a few plain columns each that are broadcast.
+THIN_KEYS = 200_000
 _PID, _MID = "__pid", "__mid"
 
 
@@ -51,8 +53,11 @@ def _prior(stable: DataFrame, keys: Sequence[str], measure: Column) -> DataFrame
 
 
 def _with_prior(stable: DataFrame, prior: DataFrame, keys: Sequence[str]) -> DataFrame:
-    on = F.lit(True)
-    s, p = stable.alias("s"), prior.alias("p")
+    """Join on (key, partition), which is never hot.
+
+    Without a key there is one row per partition, few enough to broadcast.
+    """
+    s, p = stable.alias("s"), (prior if keys else F.broadcast(prior)).alias("p")
     on = F.col(f"s.{_PID}") == F.col(f"p.{_PID}")
     for k in keys:
         on = on & F.col(f"s.{k}").eqNullSafe(F.col(f"p.{k}"))
@@ -136,6 +141,7 @@ def join_hot(
     salts: int = 32,
     share: float = 0.001,
     min_rows: int = 100_000,
+    thin_keys: int = 0,
 ) -> DataFrame:
     """Join ``big`` with ``small`` (one row per key) when some keys may be hot.
 
@@ -143,9 +149,16 @@ def join_hot(
     ``1/share`` of them, so their list is broadcast. Rows of a hot key go to
     ``salts`` tasks and only its row of ``small`` is repeated. The salt is a hash of
     the row's own ``spread`` columns, so a task run again takes the same rows.
+
+    Where the rows of ``small`` are thin, ``thin_keys`` allows to broadcast those that
+    ``big`` asks for when its keys, which are counted, are not more than that; then
+    ``big`` is not shuffled at all.
     """
     counts = key_counts(big, on) if counts is None else counts
-    total = counts.agg(F.sum("__n")).first()[0] or 0
+    keys, total = counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("__n"), F.lit(0))).first()
+    if keys <= thin_keys:
+        asked = small.join(F.broadcast(counts.select(*on)), list(on), "left_semi")
+        return big.join(F.broadcast(asked), list(on), how)
     hot = counts.where(F.col("__n") > max(total * share, min_rows)).select(*on, F.lit(salts).alias("__salts"))
     if hot.isEmpty():
         return big.join(small, list(on), how)
@@ -160,9 +173,14 @@ def join_hot(
 
 
 def with_key_totals(
-    df: DataFrame, keys: Sequence[str], spread: Sequence[str], min_rows: int = 100_000, **totals: Column
+    df: DataFrame,
+    keys: Sequence[str],
+    spread: Sequence[str],
+    min_rows: int = 100_000,
+    thin_keys: int = THIN_KEYS,
+    **totals: Column,
 ) -> DataFrame:
     """Attach aggregates of a key to each of its rows, without a window over the key."""
     sums = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *[c.alias(n) for n, c in totals.items()])
     sums = materialise(sums, "key-totals")
-    return join_hot(df, sums.drop("__n"), keys, spread, counts=sums, min_rows=min_rows)
+    return join_hot(df, sums.drop("__n"), keys, spread, counts=sums, min_rows=min_rows, thin_keys=thin_keys)

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from ..operators import files as fl
 from ..operators.models import with_model
-from ..operators.ordinals import join_hot
+from ..operators.ordinals import THIN_KEYS, join_hot
 
 
 def for_requests(files: DataFrame, requests: DataFrame, batch: str) -> DataFrame:
     """Files with the request of their batch and its model; requests are unique per batch."""
-    return join_hot(files, with_model(requests), [batch], ["path"], "inner")
+    return join_hot(files, with_model(requests), [batch], ["path"], "inner", thin_keys=THIN_KEYS)
 
 
 def content_form() -> Column:
@@ -43,7 +43,7 @@ def file_intake(
     able = with_model(requests).where("supports_file_attachments")
     sums = files.groupBy(batch).agg(F.sum("length").cast("bigint").alias("total_bytes"))
     verdict = able.join(sums, batch).withColumn("accepted", F.col("total_bytes") <= cap)
-    joined = join_hot(files, verdict, [batch], ["path"], "inner")
+    joined = join_hot(files, verdict, [batch], ["path"], "inner", thin_keys=THIN_KEYS)
     joined = joined.withColumn("content", F.when(F.col("accepted"), F.col("content")))
     checked = fl.files_to_text(fl.validated(joined, strict))
     text = fl.strip_text(F.col("text"))

@@ -63,7 +63,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/gleaner/{label}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/gleaner/{spark.sparkContext.applicationId}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application; results read from them end with it."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.rows import unnest_rows
+from ..operators.ordinals import with_ordinal
 
 # Fixed value: the widest ingest of the one-document-per-sample job (rows 0..1000).
 HARD_CAP = 1001
+# Rows that one task may merge.
+SMALL_LIMIT = 100_000
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -27,7 +30,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def corpus_scan(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None, **partition: str
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str | None = None,
+    spread_by: Sequence[str] = (),
+    **partition: str,
 ) -> DataFrame:
     """Rows of a corpus, e.g. ``subset='distractor', split='train'``.
 
@@ -38,17 +45,21 @@ def corpus_scan(
     df = reader.parquet(path)
     for column, value in partition.items():
         df = df.where(F.col(column) == value)
-    return df
+    return spread(df, *spread_by) if spread_by else df
 
 
 def ingest_limit(df: DataFrame, n: int | None, order: Sequence[str]) -> DataFrame:
     """First ``n`` rows in ``order``; none or 0 keeps all.
 
-    Apply it before any unnesting: it counts samples.
+    Apply it before any unnesting: it counts samples. A small ``n`` is cut in every
+    partition and merged; a large one would pass through one task, so positions
+    are worked out instead.
     """
     if not n:
         return df
-    return df.orderBy(*order).limit(n)
+    if n <= SMALL_LIMIT:
+        return df.orderBy(*order).limit(n)
+    return with_ordinal(df, order, (), "__pos").where(F.col("__pos") < n).drop("__pos")
 
 
 def ingest_hard_cap(df: DataFrame, n: int | None, order: Sequence[str], cap: int = HARD_CAP) -> DataFrame:

@@ -61,9 +61,23 @@ def test_join_hot_salts_and_keeps_rows(spark):
     assert inner.count() == df.join(small, "k").count()
 
 
-def test_key_totals(spark):
+def test_scratch_is_dropped(spark):
+    from gleaner.session import drop_scratch, materialise
+
+    kept = materialise(spark.range(3), "x")
+    path = kept.inputFiles()[0].removeprefix("file://").removeprefix("file:")
+    import os
+
+    assert os.path.exists(path)
+    drop_scratch(spark)
+    assert not os.path.exists(path)
+
+
+@pytest.mark.parametrize("thin", [0, 1000])
+def test_key_totals(spark, thin):
     data, df = rows(spark)
-    got = {(r.k, r.o): r.t for r in od.with_key_totals(df, ["k"], ["o"], min_rows=0, t=F.sum("v")).collect()}
+    totals = od.with_key_totals(df, ["k"], ["o"], min_rows=0, thin_keys=thin, t=F.sum("v"))
+    got = {(r.k, r.o): r.t for r in totals.collect()}
     want = {}
     for k, _, v in data:
         want[k] = want.get(k, 0) + v
