@@ -9,7 +9,7 @@ from ..functions.html import clean_url, page_contents, page_hrefs, page_text, pa
 from ..functions.rows import unnest_rows
 from ..functions.text import present
 from ..session import materialise
-from .ordinals import join_hot, paged_text
+from .ordinals import join_hot
 
 # Words that mark a link as worth following or not, and its kind.
 LINK_KINDS = {
@@ -113,14 +113,20 @@ def _sections(pages: DataFrame, linked: DataFrame) -> DataFrame:
 
 
 def linked_content(pages: DataFrame, linked: DataFrame, page_size: int = 200) -> DataFrame:
-    """Landing page and link contents as text, in pages of ``page_size`` sections.
+    """Landing page and link contents as text, in parts of at most ``page_size`` sections.
 
-    ``part`` 0 holds everything for a page with fewer links; the whole text of a
-    page is the concatenation of its parts.
+    The part follows from the link's position, so no group grows with the number of
+    links. ``part`` 0 holds everything for a page with fewer links; the whole text of
+    a page is the concatenation of its parts.
     """
-    sections = _sections(pages, linked)
-    text = paged_text(sections, ["page_id"], ["section_pos"], F.col("section"), "content", "", page_size)
-    return text.withColumnRenamed("page", "part")
+    part = F.floor((F.col("section_pos") + 1) / page_size).cast("bigint").alias("part")
+    entry = F.struct("section_pos", "section")
+    return (
+        _sections(pages, linked)
+        .groupBy("page_id", part)
+        .agg(F.array_sort(F.collect_list(entry)).alias("s"))
+        .select("page_id", "part", F.array_join(F.transform("s", lambda e: e["section"]), "").alias("content"))
+    )
 
 
 def linked_content_head(pages: DataFrame, linked: DataFrame, cap: int) -> DataFrame:

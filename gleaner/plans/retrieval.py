@@ -82,8 +82,12 @@ def rag_gemini(samples: DataFrame, questions: DataFrame, cfg: JobConfig, store:
 
 
 def _unit_vectors(df: DataFrame, text: str, width: int) -> DataFrame:
-    """Dense unit vectors in single precision, as the flat index stores them."""
-    sparse = embed(df, text, f"hash-{width}").where("vector IS NOT NULL")
+    """Dense unit vectors in single precision, as the flat index stores them.
+
+    A text without tokens keeps a NULL vector, which is never a hit; a filter here
+    would embed every text a second time.
+    """
+    sparse = embed(df, text, f"hash-{width}")
     unit = unit_length(F.col("vector"))
     return sparse.withColumn("vector", cast_float32(densify(unit, width)))
 

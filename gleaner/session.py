@@ -89,15 +89,15 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application."""
+def ship_package(spark: SparkSession, *others: Path) -> None:
+    """Send this package, and those in the folders ``others``, to the Python workers, once per application."""
     sc = spark.sparkContext
     if getattr(sc, "_gleaner_shipped", False):
         return
-    root = Path(__file__).resolve().parent
     archive = Path(tempfile.mkdtemp(prefix="gleaner-ship-")) / "gleaner.zip"
     with zipfile.ZipFile(archive, "w") as z:
-        for file in sorted(root.rglob("*.py")):
-            z.write(file, file.relative_to(root.parent))
+        for root in (Path(__file__).resolve().parent, *others):
+            for file in sorted(root.rglob("*.py")):
+                z.write(file, file.relative_to(root.parent))
     sc.addPyFile(str(archive))
     sc._gleaner_shipped = True

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,8 +19,12 @@ FULL = JobConfig()
 HEAVY = {"documents": ("doc_id",), "pages": ("page_id",), "conversations": ("conv_id", "turn")}
 
 
+def ship(spark: SparkSession) -> None:
+    ship_package(spark, Path(__file__).resolve().parent)
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    ship_package(spark)
+    ship(spark)
     rows = spark.read.parquet(f"{sf}/{name}.parquet")
     return spread(rows, *HEAVY[name]) if name in HEAVY else rows
 
@@ -300,10 +306,9 @@ def followed_links(spark: SparkSession, sf: str) -> DataFrame:
         "page_id", "link_pos", F.lit("site page").alias("type"),
         clean_url(F.col("link"), F.col("url")).alias("url"),
     )
-    every = table(spark, sf, "pages")
-    nxt = every.select((F.col("page_id") - 1).alias("page_id"), "url")
-    onward = every.select("page_id").join(nxt, "page_id").select(
-        "page_id", F.lit(1_000_000).cast("bigint").alias("link_pos"), F.lit("next page").alias("type"), "url"
+    nxt = table(spark, sf, "pages").select((F.col("page_id") - 1).alias("page_id"), "url")
+    onward = parsed.select("page_id", F.size("links").cast("bigint").alias("link_pos")).join(nxt, "page_id").select(
+        "page_id", "link_pos", F.lit("next page").alias("type"), "url"
     )
     return own.unionByName(onward)
 
@@ -315,7 +320,7 @@ links AS (
          CASE WHEN link LIKE '/%' THEN regexp_extract(base, '^([a-z]+://[^/?#]+)', 1) || replace(link, ' ', '')
               ELSE replace(link, ' ', '') END AS url FROM anchors
   UNION ALL
-  SELECT a.page_id, 1000000, 'next page', b.url FROM pages a JOIN pages b ON b.page_id = a.page_id + 1),
+  SELECT a.page_id, len(links), 'next page', b.url FROM parsed a JOIN pages b ON b.page_id = a.page_id + 1),
 sections AS (
   SELECT page_id, CAST(-1 AS BIGINT) AS pos, 'Content for Landing Page URL: ' || url || ' is: ' || contents || chr(10)
          || chr(10) || 'Content from embedded links:' || chr(10) AS section FROM contents

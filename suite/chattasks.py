@@ -346,7 +346,7 @@ def chat_request(spark, sf):
 )
 def stream_chat_store(spark, sf):
     """System turns stand for failed calls."""
-    ad.ship_package(spark)
+    ad.ship(spark)
     schema = spark.read.parquet(f"{sf}/conversations.parquet").schema
     source = spark.readStream.schema(schema).option("pathGlobFilter", "conversations.parquet").parquet(sf)
     minute = F.make_dt_interval(mins=F.col("turn").cast("int"))

@@ -21,7 +21,7 @@ EXCLUDED = ("src1", "src7/")
 
 @query("corpus_scan", "SELECT doc_id, text, source, lang FROM documents WHERE lang = 'en'")
 def corpus_scan(spark, sf):
-    ad.ship_package(spark)
+    ad.ship(spark)
     schema = "doc_id BIGINT, text STRING, lang STRING, source STRING"
     return corpus.corpus_scan(spark, f"{sf}/documents.parquet", schema, lang="en").select(
         "doc_id", "text", "source", "lang"
@@ -40,7 +40,7 @@ def ingest_hard_cap(spark, sf):
 
 @query("page_scan", "SELECT page_id, url, html FROM pages")
 def page_scan(spark, sf):
-    ad.ship_package(spark)
+    ad.ship(spark)
     return corpus.page_scan(spark, f"{sf}/pages.parquet")
 
 

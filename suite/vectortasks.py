@@ -487,7 +487,7 @@ def error_as_value(spark, sf):
 
 @query("stream_ingest", f"WITH {ad.BASE_SQL} SELECT id, document FROM p")
 def stream_ingest(spark, sf):
-    ad.ship_package(spark)
+    ad.ship(spark)
     schema = spark.read.parquet(f"{sf}/documents.parquet").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
     target = scratch_path(spark, "ingested")

@@ -8,9 +8,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 @pytest.fixture(scope="session")
 def spark():
-    from gleaner.session import local_session, ship_package
+    from gleaner.session import local_session
+    from suite.adapters import ship
 
     session = local_session("tests", "8")
-    ship_package(session)
+    ship(session)
     yield session
     session.stop()
