@@ -13,7 +13,7 @@ from ..functions.vectors import similarity
 
 
 def _joined(hits: DataFrame, part: Column, separator: str) -> DataFrame:
-    ordered = F.array_sort(F.collect_list(F.struct(F.col("rank"), part.alias("part"))))
+    ordered = F.sort_array(F.collect_list(F.struct(F.col("rank"), part.alias("part"))))
     text = F.array_join(F.transform(ordered, lambda e: e["part"]), separator)
     return hits.groupBy("query_id").agg(text.alias("context"))
 

@@ -1,9 +1,10 @@
 """Positions, pages and totals that hold up when one key owns a third of all rows.
 
 A plain ``row_number`` over a key (or over no key) puts the whole group into one
-task. Here rows are range-partitioned on key *and* order, so a large group spans
-many tasks; each row's position is the size of the group's earlier partitions
-plus its place inside its own partition.
+task. Hot keys are found by a partial count, and only their rows are
+range-partitioned on key *and* order, so that a large group spans many tasks;
+each row's position is the size of the group's earlier partitions plus its place
+inside its own partition.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from ..session import materialise
 
 # Most rows of a few plain columns each that are broadcast.
 THIN_KEYS = 200_000
+# Rows of one key that one task may sort in a window.
+WINDOW_ROWS = 1_000_000
 _PID, _MID = "__pid", "__mid"
 
 
@@ -64,24 +67,34 @@ def _with_prior(stable: DataFrame, prior: DataFrame, keys: Sequence[str]) -> Dat
     return s.join(p, on).select("s.*", "p.__first", "p.__before")
 
 
-def with_ordinal(
-    df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), name: str = "pos", start: int = 0
-) -> DataFrame:
-    """Add the position of each row inside its key, in ``order`` (a total order)."""
+def _split_hot(
+    df: DataFrame, keys: Sequence[str], min_rows: int
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """Rows of ordinary keys and rows of hot keys; None where there are none.
+
+    A key is hot with more than ``min_rows`` rows and a thousandth of all; at most
+    1,000 keys are, so their list is broadcast.
+    """
+    counts = key_counts(df, keys)
+    total = counts.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
+    hot = counts.where(F.col("__n") > max(total / 1000, min_rows)).select(*keys)
+    if hot.isEmpty():
+        return df, None
+    h = F.broadcast(hot.select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)]))
+    on = [F.col(k).eqNullSafe(F.col(f"__h{i}")) for i, k in enumerate(keys)]
+    return df.join(h, on, "left_anti"), df.join(h, on, "left_semi")
+
+
+def _ranged_ordinal(df: DataFrame, order: Sequence[str], keys: Sequence[str], name: str, start: int) -> DataFrame:
     stable = _ranged(df, keys, order, name)
-    prior = _prior(stable, keys, F.count(F.lit(1)))
-    joined = _with_prior(stable, prior, keys)
+    joined = _with_prior(stable, _prior(stable, keys, F.count(F.lit(1))), keys)
     pos = F.col("__before") + F.col(_MID) - F.col("__first") + F.lit(start)
     return joined.select(*df.columns, pos.cast("bigint").alias(name))
 
 
-def with_running_sum(
-    df: DataFrame, value: str, order: Sequence[str], keys: Sequence[str], name: str
-) -> DataFrame:
-    """Add the running sum of ``value`` inside its key, the current row included."""
+def _ranged_sum(df: DataFrame, value: str, order: Sequence[str], keys: Sequence[str], name: str) -> DataFrame:
     stable = _ranged(df, keys, order, name)
-    prior = _prior(stable, keys, F.sum(value))
-    joined = _with_prior(stable, prior, keys)
+    joined = _with_prior(stable, _prior(stable, keys, F.sum(value)), keys)
     inside = (
         Window.partitionBy(*keys, _PID).orderBy(_MID).rowsBetween(Window.unboundedPreceding, 0)
     )
@@ -89,6 +102,54 @@ def with_running_sum(
     return joined.select(*df.columns, total.cast("bigint").alias(name))
 
 
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def with_ordinal(
+    df: DataFrame,
+    order: Sequence[str],
+    keys: Sequence[str] = (),
+    name: str = "pos",
+    start: int = 0,
+    min_rows: int = WINDOW_ROWS,
+) -> DataFrame:
+    """Add the position of each row inside its key, in ``order`` (a total order).
+
+    Without a key the whole table is one group. Ordinary keys take a plain window.
+    """
+    if not keys:
+        return _ranged_ordinal(df, order, keys, name, start)
+    usual, hot = _split_hot(df, keys, min_rows)
+    by = Window.partitionBy(*keys).orderBy(*order)
+    parts = []
+    if usual is not None:
+        pos = (F.row_number().over(by) + F.lit(start - 1)).cast("bigint")
+        parts.append(usual.select(*df.columns, pos.alias(name)))
+    if hot is not None:
+        parts.append(_ranged_ordinal(hot, order, keys, name, start))
+    return _union(parts)
+
+
+def with_running_sum(
+    df: DataFrame,
+    value: str,
+    order: Sequence[str],
+    keys: Sequence[str],
+    name: str,
+    min_rows: int = WINDOW_ROWS,
+) -> DataFrame:
+    """Add the running sum of ``value`` inside its key, the current row included."""
+    usual, hot = _split_hot(df, keys, min_rows)
+    by = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    parts = []
+    if usual is not None:
+        parts.append(usual.select(*df.columns, F.sum(value).over(by).cast("bigint").alias(name)))
+    if hot is not None:
+        parts.append(_ranged_sum(hot, value, order, keys, name))
+    return _union(parts)
+
+
 def paged_lists(
     df: DataFrame,
     keys: Sequence[str],
@@ -96,18 +157,19 @@ def paged_lists(
     value: Column,
     name: str,
     page_size: int = 1000,
+    min_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Ordered lists per key, split into pages of ``page_size`` entries.
 
     Nothing is dropped: the list of a key is the concatenation of its pages. A
     key within ``page_size`` entries has exactly one page, number 0.
     """
-    placed = with_ordinal(df.withColumn("__value", value), order, keys, "__pos")
+    placed = with_ordinal(df.withColumn("__value", value), order, keys, "__pos", min_rows=min_rows)
     entry = F.struct(F.col("__pos"), F.col("__value"))
     return (
         placed.withColumn("page", F.floor(F.col("__pos") / page_size).cast("bigint"))
         .groupBy(*keys, "page")
-        .agg(F.array_sort(F.collect_list(entry)).alias("__entries"))
+        .agg(F.sort_array(F.collect_list(entry)).alias("__entries"))
         .select(*keys, "page", F.transform("__entries", lambda e: e["__value"]).alias(name))
     )
 
@@ -120,9 +182,10 @@ def paged_text(
     name: str,
     separator: str = "\n",
     page_size: int = 1000,
+    min_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """As :func:`paged_lists`, each page joined to one text."""
-    pages = paged_lists(df, keys, order, value, name, page_size)
+    pages = paged_lists(df, keys, order, value, name, page_size, min_rows)
     return pages.withColumn(name, F.array_join(name, separator))
 
 

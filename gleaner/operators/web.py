@@ -124,7 +124,7 @@ def linked_content(pages: DataFrame, linked: DataFrame, page_size: int = 200) ->
     return (
         _sections(pages, linked)
         .groupBy("page_id", part)
-        .agg(F.array_sort(F.collect_list(entry)).alias("s"))
+        .agg(F.sort_array(F.collect_list(entry)).alias("s"))
         .select("page_id", "part", F.array_join(F.transform("s", lambda e: e["section"]), "").alias("content"))
     )
 
@@ -142,6 +142,6 @@ def linked_content_head(pages: DataFrame, linked: DataFrame, cap: int) -> DataFr
     return (
         starts.where(F.col("start") < cap)
         .groupBy("page_id")
-        .agg(F.array_sort(F.collect_list(entry)).alias("s"))
+        .agg(F.sort_array(F.collect_list(entry)).alias("s"))
         .select("page_id", F.left(F.array_join(F.transform("s", lambda e: e["section"]), ""), F.lit(cap)).alias("content"))
     )

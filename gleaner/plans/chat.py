@@ -30,7 +30,7 @@ def _file_verdicts(taken: DataFrame) -> DataFrame:
     ok = accepted & F.col("part").isNotNull()
     return taken.groupBy("chat_id").agg(
         F.transform(
-            F.array_sort(F.collect_list(F.when(ok, F.struct("path", "part")))), lambda e: e["part"]
+            F.sort_array(F.collect_list(F.when(ok, F.struct("path", "part")))), lambda e: e["part"]
         ).alias("parts"),
         F.max(F.when(~accepted, F.col("error"))).alias("gate"),
         F.count_if(F.col("error").isNotNull()).alias("failed"),

@@ -113,7 +113,7 @@ def label_centres(spark: SparkSession, sf: str) -> DataFrame:
     """One question vector per label: the mean of its vectors, to six places."""
     at = table(spark, sf, "embeddings").select("label", F.posexplode("embedding").alias("i", "x"))
     means = at.groupBy("label", "i").agg(F.round(F.avg(F.col("x").cast("double")), 6).alias("m"))
-    ordered = F.array_sort(F.collect_list(F.struct("i", "m")))
+    ordered = F.sort_array(F.collect_list(F.struct("i", "m")))
     return means.groupBy("label").agg(F.transform(ordered, lambda e: e["m"]).alias("vector")).select(
         F.col("label").cast("bigint").alias("query_id"), "vector"
     )

@@ -11,9 +11,11 @@ def rows(spark):
     return data, spark.createDataFrame(data, "k INT, o INT, v INT").repartition(6)
 
 
-def test_ordinal_per_key_and_global(spark):
+@pytest.mark.parametrize("min_rows", [0, 100, 10**6])
+def test_ordinal_per_key_and_global(spark, min_rows):
     data, df = rows(spark)
-    got = {(r.k, r.o): r.pos for r in od.with_ordinal(df, ["o"], ["k"]).collect()}
+    placed = od.with_ordinal(df, ["o"], ["k"], min_rows=min_rows)
+    got = {(r.k, r.o): r.pos for r in placed.collect()}
     want, seen = {}, {}
     for k, o, _ in sorted(data, key=lambda r: (r[0], r[1])):
         want[(k, o)] = seen.get(k, 0)
@@ -23,15 +25,17 @@ def test_ordinal_per_key_and_global(spark):
     assert flat == list(range(5, 3005))
 
 
-def test_null_keys_are_a_group(spark):
+@pytest.mark.parametrize("min_rows", [0, 1, 10])
+def test_null_keys_are_a_group(spark, min_rows):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 1)], "k STRING, o INT")
-    got = sorted((str(r.k), r.o, r.pos) for r in od.with_ordinal(df, ["o"], ["k"]).collect())
+    got = sorted((str(r.k), r.o, r.pos) for r in od.with_ordinal(df, ["o"], ["k"], min_rows=min_rows).collect())
     assert got == [("None", 1, 0), ("None", 2, 1), ("a", 1, 0)]
 
 
-def test_running_sum(spark):
+@pytest.mark.parametrize("min_rows", [0, 100, 10**6])
+def test_running_sum(spark, min_rows):
     data, df = rows(spark)
-    got = {(r.k, r.o): r.s for r in od.with_running_sum(df, "v", ["o"], ["k"], "s").collect()}
+    got = {(r.k, r.o): r.s for r in od.with_running_sum(df, "v", ["o"], ["k"], "s", min_rows).collect()}
     total, want = {}, {}
     for k, o, v in sorted(data, key=lambda r: (r[0], r[1])):
         total[k] = total.get(k, 0) + v
@@ -39,9 +43,10 @@ def test_running_sum(spark):
     assert got == want
 
 
-def test_pages_hold_everything_in_order(spark):
+@pytest.mark.parametrize("min_rows", [100, 10**6])
+def test_pages_hold_everything_in_order(spark, min_rows):
     data, df = rows(spark)
-    pages = od.paged_text(df, ["k"], ["o"], F.col("o").cast("string"), "t", ",", 10).collect()
+    pages = od.paged_text(df, ["k"], ["o"], F.col("o").cast("string"), "t", ",", 10, min_rows).collect()
     joined = {}
     for r in sorted(pages, key=lambda r: (r.k, r.page)):
         assert len(r.t.split(",")) <= 10
