@@ -9,7 +9,7 @@ from ..functions.html import clean_url, page_contents, page_hrefs, page_text, pa
 from ..functions.rows import unnest_rows
 from ..functions.text import present
 from ..session import materialise
-from .ordinals import join_hot
+from .ordinals import THIN_KEYS, join_hot, key_counts
 
 # Words that mark a link as worth following or not, and its kind.
 LINK_KINDS = {
@@ -28,6 +28,11 @@ def parse_pages(pages: DataFrame) -> DataFrame:
     )
 
 
+def parse_once(pages: DataFrame) -> DataFrame:
+    """Parsed pages as a written table, for jobs that use titles, texts and links several times."""
+    return materialise(parse_pages(pages), "parsed-pages")
+
+
 def with_contents(parsed: DataFrame) -> DataFrame:
     return parsed.withColumn("contents", page_contents(F.col("title"), F.col("text")))
 
@@ -77,10 +82,15 @@ def linked_pages(links: DataFrame, parsed: DataFrame) -> DataFrame:
     """Each link with the contents of its page; an unknown page leaves NULL, the link stays.
 
     A URL that a large share of all links points to is spread over tasks; the thin
-    link table is written once, as it is counted and then joined.
+    link table is written once, as it is counted and then joined. While the wanted
+    URLs are few, other pages are left out before anything is shuffled.
     """
+    links = materialise(links, "links")
+    wanted = key_counts(links, ["url"])
+    if wanted.count() <= THIN_KEYS:
+        parsed = parsed.join(F.broadcast(wanted.select("url")), "url", "left_semi")
     target = with_contents(one_page_per_url(parsed)).select("url", "contents")
-    return join_hot(materialise(links, "links"), target, ["url"], ["page_id", "link_pos"])
+    return join_hot(links, target, ["url"], ["page_id", "link_pos"], counts=wanted)
 
 
 def link_section(type_: Column, url: Column, contents: Column) -> Column:

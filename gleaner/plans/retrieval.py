@@ -75,6 +75,7 @@ def rag_sonnet(samples: DataFrame, questions: DataFrame, cfg: JobConfig) -> Data
 
 
 def rag_gemini(samples: DataFrame, questions: DataFrame, cfg: JobConfig, store: Collection) -> DataFrame:
+    store.check(cfg.embedding_model, cfg.metric, cfg.embed_width)
     rows = passage_rows(samples, cfg, passages.sample_document_list_text)
     store.fill_if_empty(rows.select("id", "document", "vector"))
     ctx = context.context_plain(search(store.read(samples.sparkSession), questions, cfg))

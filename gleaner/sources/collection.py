@@ -27,6 +27,13 @@ class Collection:
     def rows_path(self) -> str:
         return f"{self.path}/rows"
 
+    def check(self, model: str, metric: str, width: int) -> None:
+        """Questions must be embedded and compared as the collection was."""
+        if (model, metric, width) != (self.model, self.metric, self.width):
+            raise ValueError(
+                f"collection holds {self.model}/{self.metric}/{self.width}, asked with {model}/{metric}/{width}"
+            )
+
     def create(self, spark: SparkSession, empty: DataFrame) -> None:
         """Replace: drop what was there and start empty with these settings."""
         empty.limit(0).write.mode("overwrite").parquet(self.rows_path)

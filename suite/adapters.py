@@ -297,16 +297,21 @@ def pages(spark: SparkSession, sf: str) -> DataFrame:
     return parse_pages(table(spark, sf, "pages"))
 
 
-def followed_links(spark: SparkSession, sf: str) -> DataFrame:
+def parsed_pages(spark: SparkSession, sf: str) -> DataFrame:
+    from gleaner.operators.web import parse_once
+
+    return parse_once(table(spark, sf, "pages"))
+
+
+def followed_links(parsed: DataFrame) -> DataFrame:
     """Links to follow: a page's own anchors, completed, and the URL of the next page."""
     from gleaner.functions.html import clean_url
 
-    parsed = pages(spark, sf)
     own = unnest_rows(parsed, "links", "link_pos", "link", "page_id", "url").select(
         "page_id", "link_pos", F.lit("site page").alias("type"),
         clean_url(F.col("link"), F.col("url")).alias("url"),
     )
-    nxt = table(spark, sf, "pages").select((F.col("page_id") - 1).alias("page_id"), "url")
+    nxt = parsed.select((F.col("page_id") - 1).alias("page_id"), "url")
     onward = parsed.select("page_id", F.size("links").cast("bigint").alias("link_pos")).join(nxt, "page_id").select(
         "page_id", "link_pos", F.lit("next page").alias("type"), "url"
     )

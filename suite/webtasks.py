@@ -125,15 +125,16 @@ def links_json_scan(spark, sf):
     FROM links l LEFT JOIN contents c ON c.url = l.url""",
 )
 def linked_pages(spark, sf):
-    return wb.linked_pages(ad.followed_links(spark, sf), ad.pages(spark, sf)).select(
+    parsed = ad.parsed_pages(spark, sf)
+    return wb.linked_pages(ad.followed_links(parsed), parsed).select(
         "page_id", "link_pos", "type", "url", "contents"
     )
 
 
 @query("linked_content", f"WITH {ad.FOLLOWED_SQL} SELECT page_id, CAST(0 AS BIGINT) AS part, content FROM linked")
 def linked_content(spark, sf):
-    parsed = ad.pages(spark, sf)
-    linked = wb.linked_pages(ad.followed_links(spark, sf), parsed)
+    parsed = ad.parsed_pages(spark, sf)
+    linked = wb.linked_pages(ad.followed_links(parsed), parsed)
     return wb.linked_content(wb.with_contents(parsed), linked, page_size=1000)
 
 
@@ -171,7 +172,8 @@ BROCHURE_SQL = f"""WITH {ad.FOLLOWED_SQL}, names AS (SELECT page_id, split_part(
 @query("prompt_brochure", BROCHURE_SQL.format(cap=3000))
 def prompt_brochure(spark, sf):
     """A tight cap, so that the cut is seen on these pages."""
-    return pg.brochure_prompts(ad.pages(spark, sf), ad.followed_links(spark, sf), 3000)
+    parsed = ad.parsed_pages(spark, sf)
+    return pg.brochure_prompts(parsed, ad.followed_links(parsed), 3000)
 
 
 SYSTEM_BROCHURE_SQL = quoted(pr.SYSTEM_BROCHURE)
@@ -182,7 +184,7 @@ SYSTEM_BROCHURE_SQL = quoted(pr.SYSTEM_BROCHURE)
     f"SELECT page_id, {SYSTEM_BROCHURE_SQL} AS system, prompt FROM ({BROCHURE_SQL.format(cap=pr.BROCHURE_CAP)})",
 )
 def brochure(spark, sf):
-    return pg.brochure(ad.pages(spark, sf), ad.followed_links(spark, sf)).select("page_id", "system", "prompt")
+    return pg.brochure(ad.table(spark, sf, "pages"), ad.followed_links).select("page_id", "system", "prompt")
 
 
 @query(

@@ -1,8 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
 from gleaner.operators import ordinals as od
 from gleaner.sources import collection as co
-import pytest
+
 
 
 def rows(spark):
@@ -110,5 +111,8 @@ def test_collection(spark, tmp_path):
     store.append_new(more)
     assert sorted(tuple(r) for r in store.read(spark).collect()) == [("a", "x"), ("b", "y"), ("c", "z")]
     assert co.open_collection(spark, store.path) == store
+    store.check("hash-8", "cosine", 8)
+    with pytest.raises(ValueError, match="asked with"):
+        store.check("hash-16", "cosine", 16)
     store.replace(rows.limit(1))
     assert store.read(spark).count() == 1
