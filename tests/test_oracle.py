@@ -14,10 +14,10 @@ def con():
 
 
 def test_every_query_but_a_few_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"file_scan", "topk_ann"}
+    assert set(entry.QUERIES) - set(entry.SQL) == {"file_scan", "topk_ann"}
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
 def test_query(spark, con, name):
     fn, sql = entry.queries()[name], entry.oracle_sql().get(name)
     if sql is None:
