@@ -1,4 +1,4 @@
 """Every query of the corpus operators."""
 
-from . import queries_chats, queries_lines, queries_mixing, queries_packing, queries_urls  # noqa: F401
+from . import queries_benchmark, queries_chats, queries_lines, queries_mixing, queries_packing, queries_tokens, queries_urls  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401
