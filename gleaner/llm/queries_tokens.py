@@ -15,4 +15,4 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = scratch_path(spark, "tokens")
     write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
-    return read_tokens(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return read_tokens(spark, path, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")

@@ -33,7 +33,7 @@ RANKS = np.array([63, 79, 95, 103, 111, 115, 119, 121, 123, 124, 125, 126, 127])
 SEGMENT_IDS = 1 << 18
 END_ID = 2
 #: Entries of a worker's memory of pieces and of parts, and the most characters of a piece in it.
-MEMORY, PIECE = 600_000, 48
+MEMORY, PIECE = 400_000, 48
 # Fixed value: how the byte-level tokenizer parts a text before its merges, for letters below U+0250.
 _L, _N = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
 _PARTS = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+")
@@ -262,8 +262,9 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_
     ordered.select("doc_id", "text").mapInPandas(encode, SEGMENTS).write.parquet(path)
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """The documents of a token file: ``doc_id, start, n_tokens, ids_crc32, ids``; ``start`` counts the ids before."""
+def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
+    """The documents of a token file: ``doc_id, start, n_tokens, ids_crc32`` and, if wanted, ``ids``;
+    ``start`` counts the ids before."""
     ship(spark)
     segments = spark.read.parquet(path)
     inside = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
@@ -284,14 +285,14 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 ids = unpack(starts, blocks, n).astype("<u4")
                 ends = np.cumsum(lengths)
                 own = np.split(ids, ends[:-1])
-                yield pd.DataFrame({
+                frame = pd.DataFrame({
                     "doc_id": pd.array([None if pd.isna(d) else int(d) for d in docs], "Int64"),
                     "start": at + ends - lengths,
                     "n_tokens": np.asarray(lengths, np.int64),
-                    "ids_crc32": [zlib.crc32(x.tobytes()) for x in own],
-                    "ids": own,
+                    "ids_crc32": [zlib.crc32(x) for x in own],
                 })
+                yield frame.assign(ids=own) if with_ids else frame
 
     return segments.join(F.broadcast(starts), ["part", "segment"]).mapInPandas(
-        decode, "doc_id long, start long, n_tokens long, ids_crc32 long, ids array<long>"
+        decode, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
     )
