@@ -1,4 +1,13 @@
 """Every query of the corpus operators."""
 
-from . import queries_benchmark, queries_chats, queries_lines, queries_mixing, queries_packing, queries_tokens, queries_urls  # noqa: F401
+from . import (  # noqa: F401
+    queries_benchmark,
+    queries_chats,
+    queries_lines,
+    queries_mixing,
+    queries_packing,
+    queries_simhash,
+    queries_tokens,
+    queries_urls,
+)
 from .registry import QUERIES, SQL  # noqa: F401
