@@ -6,6 +6,7 @@ from . import (  # noqa: F401
     queries_lines,
     queries_mixing,
     queries_packing,
+    queries_quality,
     queries_simhash,
     queries_tokens,
     queries_urls,
