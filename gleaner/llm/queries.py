@@ -7,6 +7,7 @@ from . import (  # noqa: F401
     queries_mixing,
     queries_packing,
     queries_quality,
+    queries_scores,
     queries_simhash,
     queries_tokens,
     queries_urls,

@@ -11,4 +11,4 @@ from .simhash import near_duplicates
 @query("op4_simhash")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return near_duplicates(docs, keep_text=False).select("doc_id", "fingerprint", "component_id")
+    return near_duplicates(docs, keep_text=False).select("doc_id", "fingerprint", "component_id").select("doc_id", "fingerprint", "component_id")

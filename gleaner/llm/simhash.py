@@ -25,7 +25,7 @@ from ..operators.ordinals import join_hot
 from ..session import materialise
 from .common import known, packed, ship, unpacked, without
 
-RESULT = ("fingerprint", "component_id")
+RESULT = ("fingerprint", "component_id", "representative")
 MAX_BITS = 3
 #: Fingerprints in a shard, about; those of the sample the upper tree is drawn from.
 SHARD_ROWS, SAMPLE = 50_000, 40_000
@@ -218,8 +218,8 @@ def link_fingerprints(points: DataFrame, shard_rows: int = SHARD_ROWS, sample: i
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", keep_text: bool = True) -> DataFrame:
-    """All rows with ``fingerprint`` (16 hex digits) and ``component_id``, the least key reachable over
-    fingerprints that differ in at most three bits.
+    """All rows with ``fingerprint`` (16 hex digits), ``component_id``, the least key reachable over
+    fingerprints that differ in at most three bits, and ``representative``, true for one row of each component.
 
     Texts without words, nulls among them, have fingerprint zero, which links like any other. Null keys
     are never the least unless a component has no other. Repeated rows stay. An empty table gives an
@@ -233,16 +233,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ke
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series(_signed(np.array([fingerprint(t) for t in texts], np.uint64)), dtype="int64")
 
-    rows = docs.select(packed(kept).alias("row"), docs[key].alias("key"), of(docs[text]).alias("fp"))
-    keyed = materialise(rows, "fingerprints")
-    points = materialise(keyed.groupBy("fp").agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("__n")), "points")
+    rows = docs.select(
+        packed(kept).alias("row"), docs[key].alias("key"), of(docs[text]).alias("fp"), F.monotonically_increasing_id().alias("id")
+    )
+    keyed = materialise(rows, "fingerprints")  # the row numbers are fixed by writing them
+    first = F.struct(F.col("key").isNull().alias("none"), "key", "id")
+    points = materialise(keyed.groupBy("fp").agg(F.min(first).alias("least"), F.count(F.lit(1)).alias("__n")), "points")
     roots = link_fingerprints(points)
     named = points.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = materialise(named.select("fp", "least", "root"), "roots")
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = named.select("fp", "root").join(least, "root").select("fp", "component_id")
-    done = join_hot(
-        keyed.withColumn("spread", F.xxhash64("key")), found, ["fp"], ["spread"], how="inner",
-        counts=points.select("fp", "__n"),
+    least = named.groupBy("root").agg(F.min("least").alias("least"))
+    found = named.select("fp", "root").join(least, "root").select("fp", "least")
+    done = join_hot(keyed, found, ["fp"], ["id"], how="inner", counts=points.select("fp", "__n"))
+    return done.select(
+        *unpacked(done), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        F.col("least.key").alias("component_id"), (F.col("id") == F.col("least.id")).alias("representative"),
     )
-    return done.select(*unpacked(done), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

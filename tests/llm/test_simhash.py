@@ -113,7 +113,8 @@ def test_edges_of_input(spark):
     rows = [(1, None, "a"), (2, "", "b"), (None, "one two three four", "c"), (4, "one two three four", "d"), (4, "one two three four", "d")]
     df = spark.createDataFrame(rows, "doc_id long, text string, fingerprint string")
     got = near_duplicates(df)
-    assert got.columns == ["doc_id", "text", "fingerprint", "component_id"]
+    assert got.columns == ["doc_id", "text", "fingerprint", "component_id", "representative"]
+    assert got.where("representative").count() == got.select("component_id").distinct().count()
     out = sorted((r.doc_id or 0, r.component_id) for r in got.collect())
     assert out == [(0, 4), (1, 1), (2, 1), (4, 4), (4, 4)]
     assert near_duplicates(df.limit(0)).count() == 0
