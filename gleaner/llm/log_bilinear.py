@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 from .common import packed, ship, unpacked, without
+from .packing import size_class
 
 RESULT = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
@@ -174,6 +175,18 @@ def _chunks(batches: Iterator[pd.DataFrame], number: dict[bytes, int], other: in
         yield out
 
 
+def _least_count(counts: DataFrame, most: int) -> int:
+    """The least count that no more than ``most`` words reach, from a histogram of bounded size."""
+    classes = counts.groupBy(size_class(F.col("c")).alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()
+    words, least = 0, None
+    for c, n in sorted(classes, reverse=True):
+        words += n
+        if words > most:
+            break
+        least = c
+    return least if least is not None else (max(classes)[0] * 2 if classes else 1)
+
+
 def score_texts(
     docs: DataFrame, settings: LblSettings = LblSettings(), key: str = "doc_id", text: str = "text", keep_text: bool = True
 ) -> DataFrame:
@@ -198,9 +211,8 @@ def score_texts(
     n_words, n_distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     ends = training.count()
     total, distinct = n_words + ends, n_distinct + (1 if ends else 0)
-    top = counts.orderBy(F.desc("c"), "word").limit(s.remembered).collect()
-    frequent = [(bytes(r[0]), r[1]) for r in top]
-    least = frequent[-1] if len(frequent) == s.remembered else None
+    least = _least_count(counts, s.remembered)
+    frequent = sorted(((bytes(r[0]), r[1]) for r in counts.where(F.col("c") >= least).collect()), key=lambda x: (-x[1], x[0]))
     head = frequent[: s.outputs]
     other_tokens = n_words - sum(c for _, c in head)
     other_kinds = n_distinct - len(head)
@@ -246,11 +258,8 @@ def score_texts(
     )
     scored = materialise(scored.select("row", "held_out", "id", "s.*"), "scored")
     rare = scored.select("id", F.explode(F.arrays_zip("words", "times")).alias("w")).select("id", "w.words", "w.times")
-    rest = counts if least is None else counts.where(
-        (F.col("c") < least[1]) | ((F.col("c") == least[1]) & (F.col("word") > F.lit(bytearray(least[0]))))
-    )
     found = (
-        rare.join(rest, F.col("words") == F.col("word"))
+        rare.join(counts.where(F.col("c") < least), F.col("words") == F.col("word"))
         .groupBy("id")
         .agg(F.sum("times").alias("n_rare"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("rare"))
     )
