@@ -15,7 +15,7 @@ from ..functions.vectors import cast_float32
 from ..operators import context, passages, prompts
 from ..operators.embedding import embed
 from ..operators.nearest import attach_documents, top_k
-from ..session import JobConfig
+from ..session import JobConfig, scratch_path
 from ..operators.ordinals import with_ordinal
 from ..sources.collection import Collection
 from ..sources.corpus import ingest_limit
@@ -44,7 +44,8 @@ def search_by_model(passages_: DataFrame, questions: DataFrame, models: tuple[st
 
 
 def _prompted(contexts: DataFrame, questions: DataFrame, prompt) -> DataFrame:
-    joined = questions.join(contexts, "query_id")
+    """A prompt for every question; the context of one without hits is empty."""
+    joined = questions.join(contexts, "query_id", "left").withColumn("context", F.coalesce("context", F.lit("")))
     return joined.select("query_id", prompt(F.col("context"), F.col("question")).alias("prompt"))
 
 
@@ -53,8 +54,16 @@ def passage_rows(samples: DataFrame, cfg: JobConfig, unnest) -> DataFrame:
     return embed(unnest(limited), "document", cfg.embedding_model)
 
 
+def stored_passages(samples: DataFrame, cfg: JobConfig, unnest) -> DataFrame:
+    """Passages written once with their metadata and vectors, so that the model sees each only once."""
+    rows = passage_rows(samples, cfg, unnest)
+    store = Collection(scratch_path(samples.sparkSession, "collection"), cfg.metric, cfg.embedding_model, cfg.embed_width)
+    store.replace(rows)
+    return store.read(samples.sparkSession)
+
+
 def rag_base(samples: DataFrame, questions: DataFrame, cfg: JobConfig) -> DataFrame:
-    rows = passage_rows(samples, cfg, passages.passages_base)
+    rows = stored_passages(samples, cfg, passages.passages_base)
     ctx = context.context_scored(search(rows, questions, cfg))
     cap = cfg.max_context_chars
     return _prompted(
@@ -63,13 +72,13 @@ def rag_base(samples: DataFrame, questions: DataFrame, cfg: JobConfig) -> DataFr
 
 
 def rag_gpt5(samples: DataFrame, questions: DataFrame, cfg: JobConfig) -> DataFrame:
-    rows = passage_rows(samples, cfg, passages.passages_ctx)
+    rows = stored_passages(samples, cfg, passages.passages_ctx)
     ctx = context.context_plain(search(rows, questions, cfg))
     return _prompted(ctx, questions, lambda c, q: prompts.prompt_gpt5(c, q, cfg.max_context_chars))
 
 
 def rag_sonnet(samples: DataFrame, questions: DataFrame, cfg: JobConfig) -> DataFrame:
-    rows = passage_rows(samples, cfg, passages.sample_document)
+    rows = stored_passages(samples, cfg, passages.sample_document)
     ctx = context.context_numbered(search(rows, questions, cfg), questions)
     return _prompted(ctx, questions, prompts.prompt_sonnet)
 

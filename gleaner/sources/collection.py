@@ -16,6 +16,11 @@ from ..functions.vectors import fits_width
 from ..operators.ordinals import with_ordinal
 
 
+def path_missing(error: AnalysisException) -> bool:
+    """Whether nothing is stored at a path, as against any other reason not to read it."""
+    return (error.getCondition() or "") == "PATH_NOT_FOUND"
+
+
 @dataclass(frozen=True)
 class Collection:
     path: str
@@ -29,10 +34,23 @@ class Collection:
 
     def check(self, model: str, metric: str, width: int) -> None:
         """Questions must be embedded and compared as the collection was."""
-        if (model, metric, width) != (self.model, self.metric, self.width):
-            raise ValueError(
-                f"collection holds {self.model}/{self.metric}/{self.width}, asked with {model}/{metric}/{width}"
-            )
+        self._differ((self.model, self.metric, self.width), (model, metric, width))
+
+    def check_stored(self, spark: SparkSession) -> None:
+        """The settings on disk, where there are any, must be those of this object."""
+        try:
+            stored = spark.read.parquet(f"{self.path}/settings").select("model", "metric", "width").first()
+        except AnalysisException as e:
+            if not path_missing(e):
+                raise
+            return
+        if stored is not None:
+            self._differ(tuple(stored), (self.model, self.metric, self.width))
+
+    @staticmethod
+    def _differ(held: tuple, asked: tuple) -> None:
+        if held != asked:
+            raise ValueError(f"collection holds {'/'.join(map(str, held))}, asked with {'/'.join(map(str, asked))}")
 
     def create(self, spark: SparkSession, empty: DataFrame) -> None:
         """Replace: drop what was there and start empty with these settings."""
@@ -48,7 +66,9 @@ class Collection:
     def exists(self, spark: SparkSession) -> bool:
         try:
             self.read(spark)
-        except AnalysisException:
+        except AnalysisException as e:
+            if not path_missing(e):
+                raise
             return False
         return True
 
@@ -62,6 +82,7 @@ class Collection:
     def fill_if_empty(self, rows: DataFrame) -> bool:
         """Ingest only into an empty collection; tells whether it did."""
         spark = rows.sparkSession
+        self.check_stored(spark)
         if not self.exists(spark):
             self.create(spark, rows)
         if not self.read(spark).isEmpty():
@@ -72,6 +93,7 @@ class Collection:
     def append_new(self, rows: DataFrame) -> None:
         """Add the rows whose id is not there yet, one per id."""
         spark = rows.sparkSession
+        self.check_stored(spark)
         if not self.exists(spark):
             self.create(spark, rows)
         known = self.read(spark).select("id")

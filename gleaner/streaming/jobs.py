@@ -15,13 +15,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..sources.collection import path_missing
+
 
 def _earlier(spark: SparkSession, path: str, batch_id: int, column: T.StructField) -> DataFrame:
     """One column of the rows written by earlier batches."""
-    schema = T.StructType([column, T.StructField("batch_id", T.IntegerType())])
+    schema = T.StructType([column, T.StructField("batch_id", T.LongType())])
     try:
         rows = spark.read.schema(schema).option("basePath", path).parquet(f"{path}/batch_id=*")
-    except AnalysisException:
+    except AnalysisException as e:
+        if not path_missing(e):
+            raise
         return spark.createDataFrame([], T.StructType([column]))
     return rows.where(F.col("batch_id") < batch_id).select(column.name)
 

@@ -190,9 +190,9 @@ def extension_type(spark, sf):
     return ad.typed_files(spark, sf).select("path", "extension", "file_type", "mime_type")
 
 
-@query("mime_guess", f"WITH {ad.FILES_SQL} SELECT path, mime_type FROM typed WHERE mime_type IS NOT NULL")
+@query("mime_guess", f"WITH {ad.FILES_SQL} SELECT path, mime_type FROM typed")
 def mime_guess(spark, sf):
-    return ad.typed_files(spark, sf).where("mime_type IS NOT NULL").select("path", "mime_type")
+    return ad.typed_files(spark, sf).select("path", "mime_type")
 
 
 @query(

@@ -69,12 +69,11 @@ def limit_dimensions(spark, sf):
 
 @query(
     "normalize_vector",
-    f"""WITH s AS (SELECT vec_id AS id, CAST(embedding[1:16] AS DOUBLE[]) AS w FROM embeddings),
+    f"""WITH s AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS w FROM embeddings),
     v AS (SELECT id, list_transform(w, lambda x: x / sqrt(list_inner_product(w, w))) AS vector FROM s) {LONG_SQL}""",
 )
 def normalize_vector(spark, sf):
-    short = vc.limit_dimensions(F.col("vector"), 16)
-    return _long(ad.vectors(spark, sf).withColumn("vector", vc.normalize(short)))
+    return _long(ad.vectors(spark, sf).withColumn("vector", vc.normalize(F.col("vector"))))
 
 
 @query(
@@ -244,14 +243,13 @@ def context_scored(spark, sf):
 
 @query(
     "context_numbered",
-    f"""{EMBED_SQL}, far AS (SELECT * FROM hits WHERE distance < 0.5)
+    f"""{EMBED_SQL}
     SELECT item_id AS query_id, coalesce(string_agg('Context ' || CAST(rank AS VARCHAR) || ': ' || document,
       chr(10) || chr(10) ORDER BY rank), 'No relevant context found.') AS context
-    FROM benchmark LEFT JOIN far ON query_id = item_id GROUP BY item_id""",
+    FROM benchmark LEFT JOIN hits ON query_id = item_id GROUP BY item_id""",
 )
 def context_numbered(spark, sf):
-    near = _base_hits(spark, sf).where("distance < 0.5")
-    return context.context_numbered(near, ad.questions(spark, sf))
+    return context.context_numbered(_base_hits(spark, sf), ad.questions(spark, sf))
 
 
 PLAIN_SQL = "string_agg(document, chr(10) || chr(10) ORDER BY rank)"
@@ -360,9 +358,10 @@ def prompt_flat(spark, sf):
 # Retrieval jobs
 
 
-def _job_sql(passages: str, context_sql: str, prompt) -> str:
+def _job_sql(passages: str, context_sql: str, prompt, empty: str = "") -> str:
     return f"""WITH {passages}, {ad.hits_sql()}, c AS (SELECT query_id, {context_sql} AS context FROM hits GROUP BY query_id)
-    SELECT query_id, {prompt('context', 'text')} AS prompt FROM c JOIN benchmark ON item_id = query_id"""
+    , every AS (SELECT item_id, text, coalesce(context, '{empty}') AS context FROM benchmark LEFT JOIN c ON item_id = query_id)
+    SELECT item_id AS query_id, {prompt('context', 'text')} AS prompt FROM every"""
 
 
 def _cut(c: str, q: str) -> str:
@@ -385,7 +384,7 @@ def rag_gpt5(spark, sf):
 NUMBERED_SQL = "string_agg('Context ' || CAST(rank AS VARCHAR) || ': ' || document, chr(10) || chr(10) ORDER BY rank)"
 
 
-@query("rag_sonnet", _job_sql(ad.SAMPLE_SQL, NUMBERED_SQL, _sonnet_prompt_sql))
+@query("rag_sonnet", _job_sql(ad.SAMPLE_SQL, NUMBERED_SQL, _sonnet_prompt_sql, "No relevant context found."))
 def rag_sonnet(spark, sf):
     return rt.rag_sonnet(ad.samples(spark, sf), ad.questions(spark, sf), ad.FULL)
 
@@ -417,8 +416,8 @@ def _flat_sql(width: int) -> str:
 
 
 def _flat_out(width: int) -> str:
-    return f"""SELECT query_id, {_flat_prompt_sql('context', 'text')} AS prompt, 'hash-{width}' AS model,
-      {quoted(pr.SYSTEM_FLAT)} AS system FROM ctxf{width} JOIN benchmark ON item_id = query_id"""
+    return f"""SELECT item_id AS query_id, {_flat_prompt_sql("coalesce(context, '')", 'text')} AS prompt, 'hash-{width}' AS model,
+      {quoted(pr.SYSTEM_FLAT)} AS system FROM benchmark LEFT JOIN ctxf{width} ON item_id = query_id"""
 
 
 @query(
