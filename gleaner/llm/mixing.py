@@ -83,6 +83,7 @@ def plan_mix(
     schedules: Sequence[Sequence[tuple[float, float]]] = SCHEDULES,
     max_repeats: int = MAX_REPEATS,
     key: str = "doc_id",
+    keep_text: bool = True,
 ) -> DataFrame:
     """All rows with ``size, source_size, target, copies, taken, positions``.
 
@@ -95,7 +96,7 @@ def plan_mix(
     """
     if any(w <= 0 for w in weights) or any(w < 0 or k[0][0] != 0 or k[-1][0] != 1 for k in schedules for _, w in k):
         raise ValueError("weights are positive; schedules run from 0 to 1 and are not negative")
-    kept = without(docs, RESULT)
+    kept = without(docs, RESULT if keep_text else (*RESULT, "text"))
     rows = docs.select(
         packed(kept).alias("row"),
         docs["source"].alias("source"),

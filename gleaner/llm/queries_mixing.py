@@ -27,5 +27,5 @@ FROM o JOIN t ON o.source IS NOT DISTINCT FROM t.source
 @query("op1_mixing", SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    planned = plan_mix(docs).orderBy(F.get("positions", F.lit(0)).asc_nulls_last(), "doc_id")
+    planned = plan_mix(docs, keep_text=False).orderBy(F.get("positions", F.lit(0)).asc_nulls_last(), "doc_id")
     return planned.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
