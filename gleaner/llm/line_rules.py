@@ -127,7 +127,8 @@ def common_lines(rows: DataFrame, limits: LineLimits) -> tuple[DataFrame, DataFr
 
 
 def apply_line_rules(
-    docs: DataFrame, limits: LineLimits = LineLimits(), key: str = "doc_id", text: str = "text", host: str = "source"
+    docs: DataFrame, limits: LineLimits = LineLimits(), key: str = "doc_id", text: str = "text", host: str = "source",
+    keep_text: bool = True,
 ) -> DataFrame:
     """All rows with ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed`` of the whole
     text, ``n_lines, n_common_lines, common_words``, the text without common lines as ``cleaned``, and
@@ -137,7 +138,7 @@ def apply_line_rules(
     between newlines that hold a word. Identical rows are judged alike, and each stays. Columns named
     like the result's give way; an empty table gives an empty result.
     """
-    kept = without(docs, RESULT)
+    kept = without(docs, RESULT if keep_text else (*RESULT, text))
     rows = docs.select(
         packed(kept).alias("row"),
         docs[text].alias("text"),

@@ -31,7 +31,7 @@ FROM (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS f FROM ba
 
 @query("op7_line_rules", SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = apply_line_rules(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    judged = apply_line_rules(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), keep_text=False)
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "common_words", "kept"
     )
