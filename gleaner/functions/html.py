@@ -88,20 +88,39 @@ def page_contents(title: Column, text: Column) -> Column:
     )
 
 
+def _without_dots(path: Column) -> Column:
+    """``.`` and ``..`` segments of an absolute path taken out."""
+    segments = F.split(F.regexp_replace(path, r"(/\.{1,2})$", "$1/"), "/")
+    nothing = F.array().cast("array<string>")
+    walked = F.aggregate(
+        segments,
+        nothing,
+        lambda done, s: F.when(s == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1))))
+        .when(s == ".", done)
+        .otherwise(F.concat(done, F.array(s))),
+    )
+    return F.when(F.contains(path, F.lit("/.")), F.array_join(walked, "/")).otherwise(path)
+
+
 def clean_url(url: Column, base: Column) -> Column:
-    """Spaces removed; a relative link is completed from the page's own URL."""
+    """Spaces and fragments removed; a relative link is completed from the folder of the page's own URL."""
     origin = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+)", 1)
     scheme = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1)
+    below = F.regexp_extract(base, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+(/(?:[^?#]*/)?)", 1)
+    folder = F.when(below == "", F.lit("/")).otherwise(below)
 
     def complete(u: Column) -> Column:
+        path, query = F.regexp_extract(u, r"^([^?]*)", 1), F.regexp_extract(u, r"(\?[\s\S]*)$", 1)
         return (
             F.when(u.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), u)
+            .when(u == "", F.regexp_extract(base, r"^([^#]*)", 1))
+            .when(F.startswith(u, F.lit("?")), F.concat(F.regexp_extract(base, r"^([^?#]*)", 1), u))
             .when(F.startswith(u, F.lit("//")), F.concat(scheme, u))
-            .when(F.startswith(u, F.lit("/")), F.concat(origin, u))
-            .otherwise(F.concat(origin, F.lit("/"), u))
+            .when(F.startswith(u, F.lit("/")), F.concat(origin, _without_dots(path), query))
+            .otherwise(F.concat(origin, _without_dots(F.concat(folder, path)), query))
         )
 
-    return let(F.replace(url, F.lit(" "), F.lit("")), complete)
+    return let(F.regexp_extract(F.replace(url, F.lit(" "), F.lit("")), r"^([^#]*)", 1), complete)
 
 
 def company_name(url: Column) -> Column:

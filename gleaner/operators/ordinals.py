@@ -10,6 +10,8 @@ inside its own partition.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -226,8 +228,11 @@ def join_hot(
     if hot.isEmpty():
         return big.join(small, list(on), how)
     n = F.coalesce("__salts", F.lit(1))
+    # a null key meets nothing, but its rows would all be sent to one task
+    null_key = reduce(or_, [F.col(f"`{k}`").isNull() for k in on])
+    parts = F.when(null_key, F.lit(salts)).otherwise(n)
     left = big.join(F.broadcast(hot), list(on), "left").withColumn(
-        "__salt", F.pmod(F.xxhash64(*spread), n).cast("int")
+        "__salt", F.pmod(F.xxhash64(*spread), parts).cast("int")
     )
     right = small.join(F.broadcast(hot), list(on), "left").withColumn(
         "__salt", F.explode(F.sequence(F.lit(0), n - 1))
@@ -243,7 +248,11 @@ def with_key_totals(
     thin_keys: int = THIN_KEYS,
     **totals: Column,
 ) -> DataFrame:
-    """Attach aggregates of a key to each of its rows, without a window over the key."""
-    sums = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *[c.alias(n) for n, c in totals.items()])
+    """Attach aggregates of a key to each of its rows, without a window over the key. Null is a key."""
+    names = [f"__key{i}" for i in range(len(keys))]
+    coded = [F.coalesce(F.concat(F.lit("="), F.col(k).cast("string")), F.lit("")).alias(n) for k, n in zip(keys, names)]
+    rows = df.select("*", *coded)
+    sums = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("__n"), *[c.alias(n) for n, c in totals.items()])
     sums = materialise(sums, "key-totals")
-    return join_hot(df, sums.drop("__n"), keys, spread, counts=sums, min_rows=min_rows, thin_keys=thin_keys)
+    joined = join_hot(rows, sums.drop("__n"), names, spread, counts=sums, min_rows=min_rows, thin_keys=thin_keys)
+    return joined.drop(*names)

@@ -43,11 +43,24 @@ def test_urls(spark):
     got = [r.v for r in df.select(ht.clean_url(F.col("u"), F.lit(base)).alias("v")).collect()]
     assert got == [
         "https://www.acme.example.com/about", "http://x.org/q", "https://cdn.x/y",
-        "https://www.acme.example.com/jobs", "mailto:a@b.c",
+        "https://www.acme.example.com/en/jobs", "mailto:a@b.c",
     ]
     assert one(spark, "https://aCME-x.example.com", ht.company_name) == "Acme-x"
 
 
+def test_relative_urls(spark):
+    cases = [
+        ("c.html", "https://h/a/b.html", "https://h/a/c.html"), ("../x", "https://h/a/b/c", "https://h/a/x"),
+        ("../../../x", "https://h/a/b", "https://h/x"), ("./x/./y/..", "https://h/a/b", "https://h/a/x/"),
+        ("?q=/../1", "https://h/a/b?p#f", "https://h/a/b?q=/../1"), ("#top", "https://h/a?p#f", "https://h/a?p"),
+        ("/x#top", "https://h/a", "https://h/x"), ("x", "https://h", "https://h/x"), ("/a/../b?u=/..", "https://h", "https://h/b?u=/.."),
+        (None, "https://h", None), ("x", None, None),
+    ]
+    df = spark.createDataFrame([(i, u, b) for i, (u, b, _) in enumerate(cases)], "i INT, u STRING, b STRING")
+    got = df.select("i", ht.clean_url(F.col("u"), F.col("b")).alias("v")).orderBy("i").collect()
+    assert [r.v for r in got] == [want for _, _, want in cases]
+
+
 def test_relevant_links_and_json(spark):
     pages = spark.createDataFrame(
         [(1, "https://x.org/", ["/about", "/jobs", "/terms-about", "mailto:jobs@x.org", "/news", "/Careers"])],

@@ -90,6 +90,21 @@ def test_key_totals(spark, thin):
     assert all(got[(k, o)] == want[k] for k, o, _ in data) and len(got) == 3000
 
 
+@pytest.mark.parametrize("thin", [0, 1000])
+def test_key_totals_of_a_null_key(spark, thin):
+    df = spark.createDataFrame([(None, 1, 5), (None, 2, 6), ("", 3, 7)], "k STRING, o INT, v INT")
+    totals = od.with_key_totals(df, ["k"], ["o"], min_rows=0, thin_keys=thin, t=F.sum("v"))
+    assert totals.columns == ["k", "o", "v", "t"]
+    assert sorted((r.o, r.t) for r in totals.collect()) == [(1, 11), (2, 11), (3, 7)]
+
+
+def test_join_hot_spreads_null_keys_and_keeps_them(spark):
+    df = spark.createDataFrame([(None if i % 2 else "a", i) for i in range(200)], "k STRING, o INT")
+    small = spark.createDataFrame([("a", 1)], "k STRING, w INT")
+    got = od.join_hot(df, small, ["k"], ["o"], min_rows=0, share=0.1)
+    assert sorted((r.o, r.w) for r in got.collect()) == [(i, None if i % 2 else 1) for i in range(200)]
+
+
 def test_flat_index_and_batches(spark):
     df = spark.createDataFrame([(3, [1.0, 2.0]), (1, [3.0, 4.0]), (2, [5.0, 6.0])], "i INT, vector ARRAY<DOUBLE>")
     index, width = co.flat_index(df, ["i"])
