@@ -45,17 +45,27 @@ class CellIndex:
         return top_k(rows, probed, k, self.width)
 
 
-def build(corpus: DataFrame, path: str, width: int, cells: int, seed: int = 7, max_iter: int = 10) -> CellIndex:
+def build(
+    corpus: DataFrame, path: str, width: int, cells: int, seed: int = 7, max_iter: int = 10,
+    fit_rows: int = 1_000_000, file_rows: int = 1_000_000,
+) -> CellIndex:
     """Cut ``corpus(id, vector)`` into cells by k-means on unit vectors and write them.
 
-    The centres are as many rows as there are cells, a parameter; the rows of one
-    cell, however many, are written by the tasks that scanned them.
+    The centres are as many rows as there are cells, a parameter, and are fitted on a sample of about
+    ``fit_rows`` vectors, taken by a hash of the id; every row is indexed. A cell, however large,
+    is spread over as many tasks as it has ``file_rows``, each of which writes one file of it.
     """
     spark = corpus.sparkSession
     fit = corpus.where(fits_width(F.col("vector"), width))
     unit = fit.withColumn("features", array_to_vector(normalize(F.col("vector"))))
-    model = KMeans(k=cells, seed=seed, maxIter=max_iter, predictionCol="cell").fit(unit.select("features"))
-    model.transform(unit).drop("features").write.mode("overwrite").partitionBy("cell").parquet(f"{path}/rows")
+    total = fit.count()
+    chosen = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(min(1.0, fit_rows / max(total, 1)) * (1 << 30))
+    model = KMeans(k=cells, seed=seed, maxIter=max_iter, predictionCol="cell").fit(unit.where(chosen).select("features"))
+    rows = model.transform(unit).drop("features")
+    parts = rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / file_rows).alias("__parts"))  # a row for each cell
+    salted = rows.join(F.broadcast(parts), "cell").withColumn("__part", F.pmod(F.xxhash64("id"), F.col("__parts")))
+    placed = salted.repartition("cell", "__part").drop("__part", "__parts")
+    placed.write.mode("overwrite").partitionBy("cell").parquet(f"{path}/rows")
     centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     table = spark.createDataFrame(centres, "id INT, vector ARRAY<DOUBLE>")
     table.write.mode("overwrite").parquet(f"{path}/centres")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import iso_seconds, present, strip_text
 from .models import PROVIDERS, provider_of
-from .ordinals import paged_lists, with_ordinal, with_running_sum
+from .ordinals import join_hot, paged_lists, with_ordinal, with_running_sum
 
 # Fixed value: characters of the first message kept in a title.
 TITLE_LENGTH = 40
@@ -110,10 +110,18 @@ def upsert_headers(chats: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 def replace_messages(messages: DataFrame, updates: DataFrame) -> DataFrame:
-    """The full new histories take the place of the old ones of the same chats."""
-    changed = updates.select("chat_id").distinct()
-    kept = messages.join(changed, "chat_id", "left_anti")
-    return kept.unionByName(updates.select(messages.columns))
+    """The full new histories take the place of the old ones of the same chats. A long chat is spread."""
+    changed = updates.select("chat_id").distinct().withColumn("__changed", F.lit(True))
+    spread = [c for c in messages.columns if c != "chat_id"]
+    kept = join_hot(messages, changed, ["chat_id"], spread).where("__changed IS NULL")
+    return kept.select(messages.columns).unionByName(updates.select(messages.columns))
+
+
+def upsert_chats(
+    chats: DataFrame, messages: DataFrame, updates: DataFrame, histories: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Headers and messages after saving ``updates`` with their full ``histories``."""
+    return upsert_headers(chats, updates), replace_messages(messages, histories)
 
 
 def append_turns(messages: DataFrame, turns: DataFrame) -> DataFrame:

@@ -68,8 +68,9 @@ def stream_chat_store(turns: DataFrame, target: str, checkpoint: str) -> Streami
 
 
 def chat_store_headers(messages: DataFrame) -> DataFrame:
-    """Current row per chat: first user message, number of messages, last update."""
-    return messages.groupBy("chat_id").agg(
+    """Current row per chat: first user message, number of messages, last update. A turn that was delivered
+    again counts once."""
+    return messages.dropDuplicates(["chat_id", "turn"]).groupBy("chat_id").agg(
         F.min_by("content", F.when(F.col("role") == "user", F.col("turn"))).alias("first_message"),
         F.count(F.lit(1)).alias("n_messages"),
         F.date_format(F.max("ts"), "yyyy-MM-dd'T'HH:mm:ss").alias("updated_at"),

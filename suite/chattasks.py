@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gleaner.functions import text as tx
 from gleaner.operators import chats as ch
 from gleaner.operators import models as md
+from gleaner.operators.ordinals import join_hot
 from gleaner.plans import chat as pc
 from gleaner.streaming import jobs
 from gleaner.session import scratch_path
@@ -150,13 +151,25 @@ def _updates(spark, sf) -> DataFrame:
 
 @query(
     "chat_upsert",
-    f"""WITH {UPSERT_SQL} SELECT coalesce(c.chat_id, u.chat_id) AS chat_id, coalesce(c.model_nm, u.model_nm) AS model_nm,
+    f"""WITH {UPSERT_SQL}, headers AS (SELECT coalesce(c.chat_id, u.chat_id) AS chat_id, coalesce(c.model_nm, u.model_nm) AS model_nm,
       coalesce(c.system_message, u.system_message) AS system_message, coalesce(c.title, u.title) AS title,
       coalesce(c.created_at, u.created_at) AS created_at, coalesce(u.updated_at, c.updated_at) AS updated_at
-    FROM chats c FULL JOIN updates u ON c.chat_id = u.chat_id""",
+    FROM chats c FULL JOIN updates u ON c.chat_id = u.chat_id), stored AS (
+      SELECT chat_id, turn, role, content FROM messages WHERE chat_id NOT IN (SELECT chat_id FROM updates)
+      UNION ALL SELECT chat_id, 0, 'user', 'asked again' FROM updates
+      UNION ALL SELECT chat_id, 1, 'assistant', 'answered again' FROM updates)
+    SELECT headers.*, turn, role, content FROM headers JOIN stored USING (chat_id)""",
 )
 def chat_upsert(spark, sf):
-    return ch.upsert_headers(_chats(spark, sf), _updates(spark, sf))
+    """Headers after the upsert, with the messages that are stored then."""
+    updates, messages = _updates(spark, sf), ad.messages(spark, sf)
+    turns = F.array(
+        F.struct(F.lit(0).alias("turn"), F.lit("user").alias("role"), F.lit("asked again").alias("content")),
+        F.struct(F.lit(1).alias("turn"), F.lit("assistant").alias("role"), F.lit("answered again").alias("content")),
+    )
+    histories = updates.select("chat_id", F.inline(turns)).withColumn("turn", F.col("turn").cast(messages.schema["turn"].dataType))
+    headers, stored = ch.upsert_chats(_chats(spark, sf), messages, updates, histories)
+    return join_hot(stored, headers, ["chat_id"], ["turn"], how="inner")
 
 
 @query(

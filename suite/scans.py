@@ -44,19 +44,35 @@ def page_scan(spark, sf):
     return corpus.page_scan(spark, f"{sf}/pages.parquet")
 
 
-@query("file_scan")
+def _document_files(spark, sf) -> str:
+    """A folder tree with a text file for each document; its id is in the path."""
+    folder = scratch_path(spark, "document-files")
+    text = F.coalesce("text", F.lit("")).alias("text")
+    ad.table(spark, sf, "documents").select("doc_id", text).write.partitionBy("doc_id").text(folder)
+    return folder
+
+
+def _doc_id():
+    return F.regexp_extract("path", "doc_id=([0-9]+)/", 1).cast("bigint").alias("doc_id")
+
+
+@query(
+    "file_scan",
+    """SELECT doc_id, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size_bytes, '.txt' AS extension,
+      md5(coalesce(text, '') || chr(10)) AS content_md5 FROM documents""",
+)
 def file_scan(spark, sf):
-    scanned = corpus.file_scan(spark, sf, content=False, glob="*.parquet")
-    return fl.file_info(scanned).select("name", "size_bytes", "size_mb", "extension")
+    """Files with their bytes; a file ends with a line feed."""
+    scanned = fl.file_info(corpus.file_scan(spark, _document_files(spark, sf), glob="*.txt"))
+    return scanned.select(_doc_id(), "size_bytes", "extension", F.md5("content").alias("content_md5"))
 
 
 @query(
     "line_scan",
-    "SELECT source || '/' || CAST(doc_id AS VARCHAR) AS path, unnest(string_split(text, chr(10))) AS line FROM documents",
+    "SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents",
 )
 def line_scan(spark, sf):
-    docs = ad.table(spark, sf, "documents").withColumn("path", F.concat_ws("/", "source", F.col("doc_id").cast("string")))
-    return corpus.text_lines(docs, "path", "text")
+    return corpus.line_scan(spark, _document_files(spark, sf), "*.txt").select(_doc_id(), "line")
 
 
 @query(

@@ -142,10 +142,26 @@ def hit_rank(spark, sf):
     )
 
 
-@query("topk_ann")
+@query(
+    "topk_ann",
+    f"{COSINE_HITS_SQL} SELECT count(DISTINCT query_id) AS n_queries, count(*) AS n_exact, true AS recalled FROM r WHERE rank <= 5",
+)
 def topk_ann(spark, sf):
-    index = ann.build(ad.vectors(spark, sf), scratch_path(spark, "cells"), WIDTH, cells=8)
-    return _rounded(index.search(ad.label_centres(spark, sf), 5, probe=4))
+    """Whether the hits of the index hold 0.9 of the exact ones of all questions.
+
+    Four of eight cells find 0.82 of them in these vectors, which hardly cluster, and six 0.98.
+    """
+    rows, asked = ad.vectors(spark, sf), ad.label_centres(spark, sf)
+    index = ann.build(rows, scratch_path(spark, "cells"), WIDTH, cells=8)
+    exact = nearest.top_k(rows, asked, 5, WIDTH).select("query_id", "id")
+    found = index.search(asked, 5, probe=6).select("query_id", "id", F.lit(1).alias("hit"))
+    per_query = (
+        exact.join(found, ["query_id", "id"], "left")
+        .groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.count("hit").alias("hits"))
+    )
+    return per_query.agg(
+        F.count(F.lit(1)).alias("n_queries"), F.sum("n").alias("n_exact"), (F.sum("hits") >= 0.9 * F.sum("n")).alias("recalled")
+    )
 
 
 @query(
