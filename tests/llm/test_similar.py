@@ -1,0 +1,99 @@
+"""Groups of similar texts against brute force."""
+
+import re
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from gleaner.llm import similar
+from gleaner.llm.simhash import fingerprint
+from gleaner.llm.similar import similar_texts
+
+SF = "/root/testdata/sf0.01"
+
+
+def brute_shingles(text, length=5):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(words[i : i + length]) for i in range(max(1, len(words) - length + 1))} if words else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def brute_components(sets):
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * min(len(a), len(b)) >= 4 * max(len(a), len(b)) and jaccard(a, b) >= 0.8:
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return [find(i) for i in range(len(sets))]
+
+
+def varied(seed):
+    """Texts around a few originals, with words changed, cut off and put before, and boilerplate in all."""
+    r = np.random.default_rng(seed)
+    word = lambda: f"w{r.integers(0, 400)}"
+    licence = [f"licence{i}" for i in range(30)]
+    out = []
+    for _ in range(25):
+        base = [word() for _ in range(int(r.integers(1, 160)))]
+        for _ in range(int(r.integers(1, 9))):
+            own = list(base)
+            for at in r.integers(0, len(own), int(r.integers(0, 5))):
+                own[at] = word()
+            own = own[int(r.integers(0, 3)) :] + [word() for _ in range(int(r.integers(0, 3)))]
+            out.append(" ".join(own + licence * int(r.integers(0, 2))))
+    return [*out, "", None, " ", "A b", "a B", "one", out[0], out[0].upper()]
+
+
+@pytest.mark.parametrize("frequent, few", [(3, 200_000), (10**9, 10)])
+def test_groups_are_those_of_brute_force(spark, monkeypatch, frequent, few):
+    monkeypatch.setattr(similar, "FREQUENT", frequent)
+    monkeypatch.setattr(similar, "FEW_LINKS", few)
+    texts = varied(4)
+    groups = brute_components([brute_shingles(t) for t in texts])
+    got = similar_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in got.collect()} == dict(enumerate(groups))
+    assert got.where("representative").count() == len(set(groups)) < len(texts)
+
+
+def test_rows_in_pieces():
+    import pandas as pd
+
+    rows = pd.DataFrame({"shingle": [1, 1, 2, 3, 3, 3, 3, 3, 4, 5, 5], "n": range(11)})
+    for step in (1, 2, 3, 11):
+        pieces = list(similar._groups(rows.iloc[i : i + step] for i in range(0, 11, step)))
+        assert pd.concat(pieces)["n"].tolist() == list(range(11))
+        seen = [set(p["shingle"]) for p in pieces]
+        assert sum(map(len, seen)) == 5
+        assert pd.concat(similar._shared(rows.iloc[i : i + step] for i in range(0, 11, step)))["shingle"].tolist() == [1, 1, 3, 3, 3, 3, 3, 5, 5]
+
+
+def test_stage_takes_out_near_copies_that_fingerprints_keep(spark):
+    words = [f"w{i}" for i in range(120)]
+    copy = list(words)
+    copy[40] = copy[90] = "changed"
+    texts = [" ".join(words), " ".join(copy)]
+    assert jaccard(*map(brute_shingles, texts)) >= 0.8
+    assert (fingerprint(texts[0]) ^ fingerprint(texts[1])).bit_count() > 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.doc_id for r in corpus_pipeline.near_duplicate_groups(spark, docs, SF).collect()] == [0]
+
+
+def test_edges_of_input(spark):
+    rows = [(1, None, "a"), (2, "", "b"), (None, "one two three four", "c"), (4, "one two three four", "d"), (4, "one two three four", "d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, component_id string")
+    got = similar_texts(df)
+    assert got.columns == ["doc_id", "text", "component_id", "representative"]
+    out = sorted((r.doc_id or 0, r.component_id) for r in got.collect())
+    assert out == [(0, 4), (1, 1), (2, 1), (4, 4), (4, 4)] and got.where("representative").count() == 2
+    assert similar_texts(df.limit(0)).count() == 0
