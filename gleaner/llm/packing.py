@@ -3,8 +3,8 @@
 Groups of equal texts are indivisible. They are sorted by size, and each enters the bin with the
 tightest capacity left that holds it. Groups of about one size are interchangeable, so the packing
 runs over classes of sizes: exact sizes below 4096 bytes, twelve significant bits above (at most some
-60,000 classes for any input), each with its count and mean size. A class is laid into a bin as one
-run of ranks. The driver holds the classes and the bins only; groups find their bin by their rank
+60,000 classes for any input), each with its count and mean size, or its largest size where the capacity is
+fixed. A class is laid into a bin as one run of ranks. The driver holds the classes and the bins only; groups find their bin by their rank
 inside their class.
 """
 
@@ -77,6 +77,12 @@ class Bins:
         return first, [node[0], node[1], rest, node[3]]
 
 
+def _fit(left: float, size: float) -> int:
+    """How many of ``size`` the capacity ``left`` holds, one at least; exact for whole numbers."""
+    whole = isinstance(left, int) and isinstance(size, int)
+    return max(1, left // size if whole else int(left / size + 1e-9))
+
+
 def best_fit(
     classes: Iterable[tuple[int, int, int]], capacity: float, shards: int | None = None
 ) -> list[tuple[int, int, int, int]]:
@@ -90,17 +96,17 @@ def best_fit(
         bins.add(capacity, b)
     opened, runs = shards or 0, []
     for name, count, total in sorted(classes, reverse=True):
-        size, rank = total / count, 0
+        size, rank = total // count if total % count == 0 else total / count, 0
         while rank < count:
             found = bins.take_tightest(size - 1e-6)
             if found:
                 left, b = found
-                n = min(count - rank, max(1, int(left / size + 1e-9)))
+                n = min(count - rank, _fit(left, size))
             elif shards:
                 left, b = bins.take_widest()
                 n = 1
             else:
-                left, b, n = capacity, opened, min(count - rank, max(1, int(capacity / size + 1e-9)))
+                left, b, n = capacity, opened, min(count - rank, _fit(capacity, size))
                 opened += 1
             bins.add(left - n * size, b)
             if runs and runs[-1][0] == name and runs[-1][3] == b:
@@ -119,8 +125,9 @@ def size_class(size: Column) -> Column:
 def assign_shards(docs: DataFrame, shards: int | None = 8, capacity: int | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
     """All rows with ``size, text_crc32, law, shard, slot, grown_shard``, law ``bytes``.
 
-    With ``shards`` the sizes of that many shards are near equal; with ``capacity`` (bytes) as few
-    shards as best fit decreasing needs. Equal texts, nulls among themselves, stay together, however
+    With ``shards`` the sizes of that many shards are near equal; with ``capacity`` (bytes) as few shards as best
+    fit decreasing needs for groups counted at their class's largest size (up to 1/2048 above their own), so that no
+    shard exceeds it but that of a single group which does. Equal texts, nulls among themselves, stay together, however
     many there are; a group larger than a shard's share makes its shard larger. A null text has one
     byte and the crc32 of nothing. ``slot`` counts from 0 in each shard; repeated rows have slots of
     their own. An empty table gives an empty result; columns named like the result's give way.
@@ -142,8 +149,9 @@ def assign_shards(docs: DataFrame, shards: int | None = 8, capacity: int | None
     classed = groups.select(
         "same", "bytes", size_class(F.col("bytes")).alias("class"), even_hash(F.col("same")).alias("at")
     )
-    classes = [tuple(r) for r in classed.groupBy("class").agg(F.count(F.lit(1)), F.sum("bytes")).collect()]
+    classes = [tuple(r) for r in classed.groupBy("class").agg(F.count(F.lit(1)), F.sum("bytes"), F.max("bytes")).collect()]
     total, many = sum(c[2] for c in classes), sum(c[1] for c in classes)
+    classes = [(c, n, n * most if capacity else size) for c, n, size, most in classes]
     runs = best_fit(classes, capacity or ceil(total / shards), shards)
     spark = docs.sparkSession
     plan = F.broadcast(spark.createDataFrame(runs, "class long, first long, end long, shard int"))

@@ -146,6 +146,13 @@ def test_sharding(spark):
     assert all(zlib.crc32(t.encode()) == c and len(t.encode()) + 1 == s for t, c, s in zip(got["text"], got["text_crc32"], got["size"]))
 
 
+def test_no_shard_exceeds_its_capacity(spark):
+    rows = [(i, f"{i:04d}" + "x" * (8995 + 3 * (i % 2))) for i in range(40)]  # 9,000 and 9,003 bytes are one class
+    got = packing.assign_shards(spark.createDataFrame(rows, "doc_id long, text string"), None, capacity=18_003)
+    sizes = got.groupBy("shard").agg(F.sum("size")).collect()
+    assert max(r[1] for r in sizes) <= 18_003 and sum(r[1] for r in sizes) == 20 * (9_000 + 9_003)
+
+
 def test_kneser_ney_sums_to_one(spark):
     texts = spark.createDataFrame([("a b a c",), ("a b b",), ("c a b",)], "text string")
     model = kneser_ney.train(texts, 2)
