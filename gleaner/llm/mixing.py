@@ -104,13 +104,13 @@ def plan_mix(
         n_words(docs["text"]).alias("size"),
         even_hash(docs[key]).alias("spread"),
         known(docs[key]).alias("id"),
-        F.length(F.coalesce(docs["text"], F.lit(""))).alias("chars"),
+        F.xxhash64(docs["text"]).alias("mark"),
     )
     found = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
     buckets = buckets_for(found.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     goals = source_targets(found.drop("n"), weights, max_repeats)
     goals = goals.select(known(F.col("source")).alias("in"), "source_size", "target", "rank")
-    placed = with_earlier_sum(rows, "in", "spread", ["id", "chars"], F.col("size"), "start", buckets)
+    placed = with_earlier_sum(rows, "in", "spread", ["id", "mark", "size"], F.col("size"), "start", buckets)
     full = placed.join(goals, "in")
     middle = F.col("start") + F.col("size") / F.lit(2.0)
     epochs = F.array(*[F.lit(e) for e in range(max_repeats)])

@@ -260,3 +260,12 @@ def test_mix_order_and_targets(spark):
         for share, t in zip(range(11), got):
             xs = np.linspace(0, t, 2001)
             assert np.trapezoid(np.interp(xs, *zip(*knots)), xs) == pytest.approx(share / 10, abs=1e-6)
+
+
+def test_rows_of_one_id_have_a_fixed_order(spark):
+    texts = ["a b c d", "aaaaaaa", "a b ccc", "aa aaaa"]  # of one length, of other counts of words
+    plans = []
+    for rows in (texts, texts[::-1]):
+        docs = spark.createDataFrame([(1, t, "s") for t in rows], "doc_id long, text string, source string").coalesce(1)
+        plans.append({r.text: r.positions for r in mixing.plan_mix(docs).collect()})
+    assert plans[0] == plans[1]
