@@ -13,7 +13,7 @@ from gleaner.llm.kneser_ney import score_quality
 from gleaner.llm.mixing import mix
 from gleaner.llm.packing import assign_shards
 from gleaner.llm.registry import table
-from gleaner.llm.similar import similar_texts
+from gleaner.llm.simhash import near_duplicates
 from gleaner.session import materialise
 
 
@@ -23,8 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (0.8 of the five-word shingles or more), that with the least id."""
-    return similar_texts(docs).where("representative").select(docs.columns)
+    """One document of each group whose fingerprints of three-word shingles link at three bits or fewer, that with the least id."""
+    return near_duplicates(docs).where("representative").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,12 +44,12 @@ def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", quality),
-    ("near-duplicates", near_duplicate_groups),
+    ("SimHash near-duplicates", near_duplicate_groups),
     ("benchmark decontamination", decontamination),
     ("mixing", mixing),
     ("sharding", sharding),
 ]
-#: The classifier and the fingerprints are beyond SQL; tests/llm/test_pipeline.py has a brute-force form.
+#: The classifier and the fingerprints are beyond SQL; tests/llm/test_pipeline.py holds run() against plain versions of all stages.
 ORACLE_SQL = None
 
 
