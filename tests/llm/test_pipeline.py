@@ -1,25 +1,201 @@
-"""The pipeline's stages against what each should keep."""
+"""run() against plain versions of all stages, and the edges of input."""
+
+import hashlib
+import math
+from collections import Counter, defaultdict
+
+import numpy as np
+import xxhash
 
 import corpus_pipeline
-from gleaner.llm.decontaminate import benchmark_hits
-from gleaner.llm.simhash import near_duplicates
+from tests.llm.test_new_operators import WORD
+from tests.llm.test_operators import plain_best_fit
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_stages_take_effect(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    kept, before = [], docs
-    for name, stage in corpus_pipeline.STAGES:
-        after = stage(spark, before, SF).cache()
-        kept.append((name, before, after))
-        before = after
-    (_, _, good), (_, seen, single), (_, _, clean), (_, pool, mixed), (_, given, sharded) = kept
-    assert 0 < good.count() < docs.count()
-    assert all(a.columns == docs.columns for _, _, a in kept[:-1])
-    groups = near_duplicates(seen).groupBy("component_id").count().count()
-    assert single.count() == groups and near_duplicates(single).select("component_id").distinct().count() == groups
-    assert benchmark_hits(clean, spark.read.parquet(f"{SF}/benchmark.parquet")).where("contaminated").count() == 0
-    ids = {r.doc_id for r in pool.collect()}
-    assert {r.doc_id for r in mixed.collect()} <= ids
-    assert sharded.count() == given.count() == mixed.count()
+def even(*parts):
+    return int(hashlib.md5("/".join(f"={p}" for p in parts).encode()).hexdigest()[:8], 16) >> 1
+
+
+def ascii_lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+class PlainKneserNey:
+    def __init__(self, texts):
+        tri = Counter()
+        for t in texts:
+            w = ["<s>", "<s>", *WORD.findall(t or ""), "</s>"]
+            tri.update(zip(w, w[1:], w[2:]))
+        pairs = Counter((b, c) for _, b, c in tri)
+        singles = Counter(c for _, c in pairs)
+        self.alpha, self.gamma = zip(*(self.level(counts) for counts in (tri, pairs, {(c,): n for c, n in singles.items()})))
+        self.words = {w for g in tri for w in g}
+
+    @staticmethod
+    def level(counts):
+        n1, n2, n3, n4 = (sum(n == k for n in counts.values()) for k in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2) if n1 else 0.5
+        raw = [1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 1.0, 3 - 4 * y * n4 / n3 if n3 else 1.5]
+        cuts = [min(max(d, 0.05), i + 0.95) for i, d in enumerate(raw)]
+        total, cut = Counter(), Counter()
+        for g, n in counts.items():
+            total[g[:-1]] += n
+            cut[g[:-1]] += cuts[min(n, 3) - 1]
+        return {g: (n - cuts[min(n, 3) - 1]) / total[g[:-1]] for g, n in counts.items()}, {c: cut[c] / total[c] for c in total}
+
+    def log_prob(self, text):
+        w = ["<s>", "<s>", *WORD.findall(text or ""), "</s>"]
+        total = 0.0
+        for g in zip(w, w[1:], w[2:]):
+            p = 1 / (len(self.words) + 1)
+            for order in (2, 1, 0):
+                own = g[order:]
+                p = self.alpha[order].get(own, 0.0) + self.gamma[order].get(own[:-1], 1.0) * p
+            total += math.log(p)
+        return len(w) - 2, total
+
+
+def plain_quality(docs, labels):
+    bad = {d for d, q, t in labels if not (q == 1 and not t)}
+    trusted = {d for d, _, _ in labels} - bad
+    chars = Counter()
+    for d in docs:
+        chars[d.lang] += len(d.text or "") if d.doc_id in trusted else 0
+    share = {k: min(0.5, 1_500_000 / max(n, 1)) for k, n in chars.items()}
+    chosen = {d.doc_id for d in docs if d.doc_id in trusted and even(f"={d.doc_id}", "train") < share[d.lang] * 2**31}
+    model = PlainKneserNey([d.text for d in docs if d.doc_id in chosen])
+    scores = {d.doc_id: (d.lang, *model.log_prob(d.text)) for d in docs}
+    held = [scores[d] for d in scores if d in trusted and d not in chosen]
+
+    def limits(own):
+        mean = -sum(lp for _, _, lp in own) / sum(n for _, n, _ in own)
+        steps = sorted(math.ceil((-lp + 30 * mean) / (n + 30) * 1000) for _, n, lp in own)
+        return mean, steps[math.ceil(len(steps) * 0.999) - 1] / 1000 + 0.05
+
+    every = limits(held)
+    by_lang = {k: limits([x for x in held if x[0] == k]) for k in {x[0] for x in held}}
+    keep = []
+    for d in docs:
+        lang, n, lp = scores[d.doc_id]
+        mean, limit = by_lang.get(lang, every)
+        if (-lp + 30 * mean) / (n + 30) <= limit:
+            keep.append(d)
+    return keep
+
+
+def plain_fingerprint(text):
+    w = WORD.findall(ascii_lower(text))
+    shingles = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] or ([" ".join(w)] if w else [])
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def plain_groups(docs):
+    prints = [plain_fingerprint(d.text) for d in docs]
+    up = list(range(len(docs)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, a in enumerate(prints):
+        for j in range(i):
+            if (a ^ prints[j]).bit_count() <= 3:
+                up[root(i)] = root(j)
+    least = defaultdict(list)
+    for i, d in enumerate(docs):
+        least[root(i)].append(d)
+    return [min(g, key=lambda d: d.doc_id) for g in least.values()]
+
+
+def bench_words(text):
+    return "".join(c if c.isascii() and c.isalnum() or not c.isascii() else " " for c in ascii_lower(text)).split(" ")
+
+
+def plain_clean(docs, items):
+    windows = set()
+    for t in items:
+        w = [x for x in bench_words(t) if x]
+        windows |= {tuple(w[i : i + 10]) for i in range(max(len(w) - 9, 1))} - {()}
+    lengths = {len(x) for x in windows}
+    out = []
+    for d in docs:
+        w = [x for x in bench_words(d.text) if x]
+        if not any(tuple(w[i : i + m]) in windows for m in lengths for i in range(len(w) - m + 1)):
+            out.append(d)
+    return out
+
+
+def plain_mix(docs):
+    sizes = {d.doc_id: len(WORD.findall(d.text or "")) for d in docs}
+    sources = sorted({d.source for d in docs}, key=lambda s: (s is None, s or ""))
+    own = {s: sum(sizes[d.doc_id] for d in docs if d.source == s) for s in sources}
+    weight = {s: (1, 2, 3)[i % 3] for i, s in enumerate(sources)}
+    target, left, rest = {}, set(sources), sum(own.values())
+    while left:
+        level = rest / sum(weight[s] for s in left)
+        full = {s for s in left if weight[s] * level > 3 * own[s]}
+        for s in full or left:
+            target[s] = 3 * own[s] if full else weight[s] * level
+        rest -= sum(3 * own[s] for s in full)
+        left = left - full if full else set()
+    taken = Counter()
+    for s in sources:
+        start = 0
+        for d in sorted((d for d in docs if d.source == s), key=lambda d: (even(d.doc_id), f"={d.doc_id}")):
+            size = sizes[d.doc_id]
+            taken[d.doc_id] = sum(size > 0 and e * own[s] + start + size / 2 < target[s] for e in range(3))
+            start += size
+    return +taken
+
+
+def test_run_against_plain_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    labels = [tuple(r) for r in spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality", "toxic").collect()]
+    items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    good = plain_quality(docs, labels)
+    single = plain_groups(good)
+    clean = plain_clean(single, items)
+    taken = plain_mix(clean)
+    assert len(docs) > len(good) > len(single) > len(clean) > 0
+
+    frame = spark.read.parquet(f"{SF}/documents.parquet")
+    for (_, stage), want in zip(corpus_pipeline.STAGES, (good, single, clean)):
+        frame = stage(spark, frame, SF).cache()
+        assert frame.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        assert sorted(r.doc_id for r in frame.collect()) == sorted(d.doc_id for d in want)
+    rows = corpus_pipeline.run(spark, SF).collect()
+    assert Counter(r.doc_id for r in rows) == taken
+    groups = Counter()
+    for r in rows:
+        groups[r.text] += len(r.text.encode()) + 1
+        assert r.size == len(r.text.encode()) + 1
+    loads = Counter()
+    for r in rows:
+        loads[r.shard] += r.size
+    # groups above 4096 bytes are packed by the mean size of their class, which is a 2048th off at most
+    fair = math.ceil(sum(groups.values()) / 8)
+    want = sorted(fair - x for x in plain_best_fit(list(groups.values()), fair, 8))
+    assert np.allclose(sorted(loads.values()), want, atol=max(groups.values()) / 8)
+    assert len({(r.text, r.shard) for r in rows}) == len(groups)
+    for shard in loads:
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(sum(r.shard == shard for r in rows)))
+
+
+def test_edges(spark, tmp_path):
+    """Nulls in every column, ties, repeated rows, empty and long texts, and empty tables."""
+    docs = [
+        (1, None, None, None, None), (1, None, None, None, None), (None, "a b c", "en", "s", 5), (2, "", "en", "s", 0),
+        (3, "x " * 30_000, "de", "s", 60_000), (4, "a b c", "en", None, 5), (5, "a b c", "en", "t", 5),
+    ]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    for name, rows in (("full", frame), ("empty", frame.limit(0))):
+        sf = tmp_path / name
+        rows.write.parquet(f"{sf}/documents.parquet")
+        spark.createDataFrame([(2, 1, 0)], "doc_id long, quality long, toxic long").write.parquet(f"{sf}/labels.parquet")
+        spark.createDataFrame([(1, "zz yy")], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+        got = corpus_pipeline.run(spark, str(sf)).collect()
+        assert ({r.text for r in got} <= {"a b c", "x " * 30_000}) if name == "full" else got == []
