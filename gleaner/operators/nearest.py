@@ -3,13 +3,17 @@
 Corpus rows stay in their scan partitions. Each task compares Arrow batches with
 a block of question vectors by a matrix product and keeps k rows per question, so
 only those are shuffled; pairs are never emitted. A question table within a
-checked size travels as a broadcast block; a larger one is cut into blocks that
-Spark co-groups with blocks of the corpus.
+checked size travels as a broadcast block; a larger one is cut into such blocks, which
+pass over the corpus one after the other. No corpus row ever moves.
+
+Rows of a batch are gathered around the nearest of a few pivots. A question whose k-th hit is
+nearer than any row of a gathering can be, by the triangle inequality, passes it over.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,10 +22,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialise
+
 MAX_BROADCAST_ROWS = 20_000
 MAX_BROADCAST_BYTES = 64 << 20
 _PAIR_BLOCK = 1 << 15
 _QUERY_BLOCK = 512
+# Pivots that gather the rows of a batch; batches of fewer rows are compared as a whole.
+PIVOTS = 8
+_GATHER_ROWS = 1024
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -77,6 +86,11 @@ def _exact(q: np.ndarray, x: np.ndarray, nq: np.ndarray, nx: np.ndarray, metric:
     return _fold((q - x) ** 2)
 
 
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distances of all rows of ``a`` from the few rows of ``b``."""
+    return np.sqrt(np.maximum((a**2).sum(axis=1)[:, None] + (b**2).sum(axis=1)[None, :] - 2.0 * (a @ b.T), 0.0))
+
+
 class _Best:
     """The k nearest rows per question seen so far in one task."""
 
@@ -85,9 +99,10 @@ class _Best:
         self.nq = _fold(queries**2)
         self.kth = np.full(len(queries), np.inf)
         self.table: pa.Table | None = None
+        self.compared = 0
 
     def add(self, x: np.ndarray, ids: pa.Array, which: np.ndarray) -> None:
-        """Compare corpus rows with the questions numbered ``which``."""
+        """Compare corpus rows with the questions numbered ``which``, gathered around pivots if there are many."""
         nx = _fold(x**2)
         if self.metric == "cosine":
             keep = np.flatnonzero(nx > 0)
@@ -95,14 +110,37 @@ class _Best:
         if not len(x):
             return
         parts = [] if self.table is None else [self.table]
-        for at in range(0, len(which), _QUERY_BLOCK):
-            parts += self._candidates(which[at : at + _QUERY_BLOCK], x, nx, ids)
+        for rows, asking in self._gathered(x, nx, which) if len(x) >= _GATHER_ROWS else [(slice(None), which)]:
+            own = ids if isinstance(rows, slice) else pc.take(ids, pa.array(rows))
+            for at in range(0, len(asking), _QUERY_BLOCK):
+                parts += self._candidates(asking[at : at + _QUERY_BLOCK], x[rows], nx[rows], own)
         if parts:
             self._shrink(pa.concat_tables(parts))
 
+    def _gathered(self, x, nx, which: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Rows around each pivot, and those questions that may have a hit among them.
+
+        No row is nearer to a question than the question to the pivot, less the radius. Cosine distances
+        are half the squared distances of unit vectors.
+        """
+        unit = self.metric == "cosine"
+        scaled = x / np.sqrt(nx)[:, None] if unit else x
+        asked = self.q[which] / np.sqrt(self.nq[which])[:, None] if unit else self.q[which]
+        pivots = scaled[:: -(-len(x) // PIVOTS)]  # any rows do: they change the work, not the hits
+        away = _apart(scaled, pivots)
+        nearest = away.argmin(axis=1)
+        far = _apart(asked, pivots)
+        slack = 1e-6 * (1.0 + np.abs(scaled).max() + np.abs(asked).max())
+        for p in range(len(pivots)):
+            rows = np.flatnonzero(nearest == p)
+            if len(rows):
+                bound = np.maximum(far[:, p] - away[rows, p].max() - slack, 0.0) ** 2 / (2.0 if unit else 1.0)
+                yield rows, which[bound <= self.kth[which]]
+
     def _candidates(self, which: np.ndarray, x, nx, ids) -> list[pa.Table]:
         """Rows within rounding of the k nearest, with their exact distances."""
         q, nq = self.q[which], self.nq[which]
+        self.compared += len(which) * len(x)
         near = q @ x.T
         if self.metric == "cosine":
             near = 1.0 - near / np.sqrt(nq)[:, None] / np.sqrt(nx)[None, :]
@@ -233,10 +271,8 @@ def top_k(
     row_bound = min(max_broadcast_rows, max(1, MAX_BROADCAST_BYTES // (8 * width)))
     sample = queries.limit(row_bound + 1).toArrow()
     if sample.num_rows <= row_bound:
-        hits = _broadcast_hits(corpus, queries, sample, k, width, metric)
-    else:
-        hits = _block_hits(corpus, queries, k, width, metric)
-    return _rank(hits, k)
+        return _rank(_broadcast_hits(corpus, queries, sample, k, width, metric), k)
+    return _block_hits(corpus, queries, k, width, metric, max(row_bound, 1))
 
 
 def _broadcast_hits(corpus, queries, table: pa.Table, k: int, width: int, metric: str) -> DataFrame:
@@ -250,35 +286,20 @@ def _broadcast_hits(corpus, queries, table: pa.Table, k: int, width: int, metric
     return corpus.mapInArrow(scan, spark_schema)
 
 
-def _block_hits(
-    corpus: DataFrame, queries: DataFrame, k: int, width: int, metric: str, block_rows: int | None = None
-) -> DataFrame:
-    """Question blocks against corpus blocks: exact for any number of questions.
+def _block_hits(corpus: DataFrame, queries: DataFrame, k: int, width: int, metric: str, block_rows: int) -> DataFrame:
+    """Ranked hits of any number of questions, a block of about ``block_rows`` after the other.
 
-    Blocks are cut by a hash of the row's own id, so their sizes are even whatever
-    the data. A corpus row is copied once per question block, a question once per
-    corpus block; pairs exist only inside a task's matrix product.
+    Blocks are cut by a hash of the question's id. Each is fetched, broadcast, and its hits written
+    before the next one, so no more than one is held anywhere; the corpus is scanned once per block and not shuffled.
     """
-    spark_schema, arrow_schema = _schemas(corpus, queries)
-    rows = block_rows or max(1, MAX_BROADCAST_BYTES // (8 * width))
-    q_blocks = -(-queries.count() // rows) or 1
-    c_blocks = -(-corpus.count() // rows) or 1
-
-    def block(name: str, n: int):
-        return F.pmod(F.xxhash64(name), F.lit(n)).cast("int")
-
-    def copies(n: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    left = corpus.withColumn("cb", block("id", c_blocks)).withColumn("qb", copies(q_blocks))
-    right = queries.withColumn("qb", block("query_id", q_blocks)).withColumn("cb", copies(c_blocks))
-
-    def scan(c: pa.Table, q: pa.Table) -> pa.Table:
-        asked = _Questions(q, width, metric)
-        best = asked.scan(c.to_batches(max_chunksize=10_000), k, metric)
-        return pa.Table.from_batches(list(_hits(best, asked.ids, arrow_schema)), arrow_schema)
-
-    return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInArrow(scan, spark_schema)
+    blocks = -(-queries.count() // block_rows) or 1
+    number = F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("__block")
+    asked = materialise(queries.select("*", number), "questions")
+    done = []
+    for b in range(blocks):
+        table = asked.where(F.col("__block") == b).drop("__block").toArrow()
+        done.append(materialise(_rank(_broadcast_hits(corpus, queries, table, k, width, metric), k), "hits"))
+    return reduce(DataFrame.unionByName, done)
 
 
 def attach_documents(

@@ -1,33 +1,28 @@
 """Streams: corpus ingest and the chat store.
 
 Both write each micro-batch to its own ``batch_id`` folder, overwritten when the
-batch is run again after a failure, so every row lands exactly once. Neither keeps
-rows in operator state.
+batch is run again after a failure, so every row lands exactly once. The ingest finds
+earlier ids through an index on disk; the chat store keeps pages of turns as keyed state.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..sources.collection import path_missing
+from ..operators.chats import chat_title
+from .id_index import IdIndex
 
-
-def _earlier(spark: SparkSession, path: str, batch_id: int, column: T.StructField) -> DataFrame:
-    """One column of the rows written by earlier batches."""
-    schema = T.StructType([column, T.StructField("batch_id", T.LongType())])
-    try:
-        rows = spark.read.schema(schema).option("basePath", path).parquet(f"{path}/batch_id=*")
-    except AnalysisException as e:
-        if not path_missing(e):
-            raise
-        return spark.createDataFrame([], T.StructType([column]))
-    return rows.where(F.col("batch_id") < batch_id).select(column.name)
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Turns of one chat that one state holds.
+PAGE_TURNS = 1000
+_STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def _write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
@@ -35,14 +30,25 @@ def _write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
 
 
 def stream_ingest(
-    samples: DataFrame, to_passages: Callable[[DataFrame], DataFrame], target: str, checkpoint: str
+    samples: DataFrame, to_passages: Callable[[DataFrame], DataFrame], target: str, checkpoint: str, index: IdIndex | None = None
 ) -> StreamingQuery:
-    """New corpus rows -> passages -> collection, each passage id once."""
+    """New corpus rows -> passages -> collection, each passage id once.
+
+    Of one id in a batch the row with the least contents stays. Earlier ids are looked up in ``index`` (beside the
+    target unless given), which opens only the buckets that may hold some of them.
+    """
+    index = index or IdIndex(f"{target}-index")
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        rows = to_passages(batch).dropDuplicates(["id"])
-        known = _earlier(batch.sparkSession, target, batch_id, rows.schema["id"])
-        _write_batch(rows.join(known, "id", "left_anti").select(rows.columns), target, batch_id)
+        passages = to_passages(batch)
+        others = [F.col(c) for c in passages.columns if c != "id"]
+        least = passages.groupBy("id").agg(F.min(F.struct(*others)).alias("least")).select("id", "least.*") if others else passages.distinct()
+        rows = least.select(passages.columns).persist()
+        try:
+            _write_batch(index.unknown(rows, batch_id), target, batch_id)
+        finally:
+            rows.unpersist()
+        index.add(batch.sparkSession.read.schema(rows.schema).parquet(f"{target}/batch_id={batch_id}").select("id"), batch_id)
 
     return (
         samples.writeStream.foreachBatch(add)
@@ -52,26 +58,86 @@ def stream_ingest(
     )
 
 
-def stream_chat_store(turns: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Turns ``chat_id, turn, role, content, ts, error`` -> messages; failed turns are ignored."""
-
-    def add(batch: DataFrame, batch_id: int) -> None:
-        ok = batch.where("error IS NULL").select("chat_id", "turn", "role", "content", "ts")
-        _write_batch(ok, target, batch_id)
-
+def _keep_turns(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The page's turns so far, one current row. Of two deliveries of a turn the earlier one counts, then the
+    lesser: whatever the order or number of deliveries, the page is the same."""
+    held = {t: tuple(rest) for t, *rest in zip(*state.get)} if state.exists else {}
+    for batch in batches:
+        columns = (batch[c].where(batch[c].notna(), "").tolist() for c in ("ts", "role", "content", "model_nm"))
+        for turn, *new in zip(batch["turn"].tolist(), *columns):
+            held[turn] = min(held.get(turn, tuple(new)), tuple(new))
+    turns = sorted(held)
+    columns = [list(c) for c in zip(*(held[t] for t in turns))]
+    state.update((turns, *columns))
+    stamps, roles, contents, models = columns
+    asked = next((i for i, r in enumerate(roles) if r == "user"), None)
+    yield pd.DataFrame({
+        "chat_id": [key[0]], "page": [key[1]], "n_messages": [len(turns)], "first_turn": [None if asked is None else turns[asked]],
+        "first_message": [None if asked is None else contents[asked]], "model_nm": [next((m for m in models if m), None)],
+        "created": [min(stamps)], "updated": [max(stamps)],
+        "messages": [[{"turn": t, "role": r, "content": c, "ts": s} for t, r, c, s in zip(turns, roles, contents, stamps)]],
+    })
+
+
+def stream_chat_store(turns: DataFrame, target: str, checkpoint: str, page_turns: int = PAGE_TURNS) -> StreamingQuery:
+    """Turns ``chat_id, turn, role, content, ts, error`` and perhaps ``model_nm`` -> the current pages of their chats.
+
+    The state is keyed by chat and page, ``page_turns`` turns each, so that a long chat is many states; it lies in
+    RocksDB. A batch writes the pages that it changed, as a whole; :func:`chat_pages` reads the newest of each.
+    Failed turns are ignored, and so are turns without a number; a missing text is an empty one.
+    """
+    spark = turns.sparkSession
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    model = F.col("model_nm") if "model_nm" in turns.columns else F.lit(None).cast("string")
+    ok = turns.where("error IS NULL AND turn IS NOT NULL").select(
+        "chat_id", F.floor(F.col("turn") / page_turns).cast("bigint").alias("page"), F.col("turn").cast("bigint").alias("turn"),
+        "role", "content", F.date_format("ts", _STAMP).alias("ts"), model.alias("model_nm"),
+    )
+    chat_id = turns.schema["chat_id"].dataType.simpleString()
+    message = "struct<turn: bigint, role: string, content: string, ts: string>"
+    pages = ok.groupBy("chat_id", "page").applyInPandasWithState(
+        _keep_turns,
+        f"chat_id {chat_id}, page bigint, n_messages bigint, first_turn bigint, first_message string, model_nm string, "
+        f"created string, updated string, messages array<{message}>",
+        "turns array<bigint>, ts array<string>, roles array<string>, contents array<string>, models array<string>",
+        "update",
+        GroupStateTimeout.NoTimeout,
+    )
     return (
-        turns.writeStream.foreachBatch(add)
+        pages.writeStream.foreachBatch(lambda batch, batch_id: _write_batch(batch, target, batch_id))
+        .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def chat_store_headers(messages: DataFrame) -> DataFrame:
-    """Current row per chat: first user message, number of messages, last update. A turn that was delivered
-    again counts once."""
-    return messages.dropDuplicates(["chat_id", "turn"]).groupBy("chat_id").agg(
-        F.min_by("content", F.when(F.col("role") == "user", F.col("turn"))).alias("first_message"),
-        F.count(F.lit(1)).alias("n_messages"),
-        F.date_format(F.max("ts"), "yyyy-MM-dd'T'HH:mm:ss").alias("updated_at"),
-    )
+def chat_pages(written: DataFrame) -> DataFrame:
+    """The newest state of every page. Versions are told apart on thin rows; contents of older ones are not read on."""
+    newest = written.groupBy("chat_id", "page").agg(F.max("batch_id").alias("batch_id"))
+    w, n = written.alias("w"), newest.alias("n")
+    same = F.col("w.chat_id").eqNullSafe(F.col("n.chat_id")) & (F.col("w.page") == F.col("n.page")) & (F.col("w.batch_id") == F.col("n.batch_id"))
+    return w.join(n, same, "left_semi").drop("batch_id")
+
+
+def chat_messages(pages: DataFrame) -> DataFrame:
+    """``chat_id, turn, role, content``: a chat's history, a row per turn."""
+    return pages.select("chat_id", F.inline("messages")).select("chat_id", "turn", "role", "content")
+
+
+def chat_store_headers(pages: DataFrame) -> DataFrame:
+    """The current row of each chat: model, title, first user message, number of messages, and both stamps.
+
+    It needs no message: every page brings its own sums.
+    """
+    asked = F.when(F.col("first_turn").isNotNull(), F.col("page"))
+    rows = pages.groupBy("chat_id").agg(
+        F.min_by("model_nm", F.when(F.col("model_nm").isNotNull(), F.col("page"))).alias("model_nm"),
+        F.min_by("first_message", asked).alias("first_message"),
+        F.sum("n_messages").alias("n_messages"), F.min("created").alias("created"), F.max("updated").alias("updated"),
+    )
+    created = F.to_timestamp_ntz("created", F.lit(_STAMP))
+    return rows.select(
+        "chat_id", "model_nm", chat_title(F.coalesce("model_nm", F.lit("")), F.col("first_message"), created).alias("title"),
+        "first_message", "n_messages", F.substring("created", 1, 19).alias("created_at"), F.substring("updated", 1, 19).alias("updated_at"),
+    )

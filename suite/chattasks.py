@@ -353,21 +353,31 @@ def chat_request(spark, sf):
 
 @query(
     "stream_chat_store",
-    f"""WITH {ad.MESSAGES_SQL} SELECT chat_id, arg_min(content, turn) FILTER (role = 'user') AS first_message,
-      count(*) AS n_messages, strftime(TIMESTAMP '2024-01-01 00:00:00' + max(turn) * INTERVAL 1 MINUTE, '%Y-%m-%dT%H:%M:%S')
-      AS updated_at FROM messages WHERE role <> 'system' GROUP BY chat_id""",
+    f"""WITH {ad.MESSAGES_SQL}, ok AS (SELECT * FROM messages WHERE role <> 'system'),
+    rows AS (SELECT chat_id, arg_min(content, turn) FILTER (role = 'user') AS first_message, count(*) AS n_messages,
+      TIMESTAMP '2024-01-01 00:00:00' + min(turn) * INTERVAL 1 MINUTE AS created,
+      TIMESTAMP '2024-01-01 00:00:00' + max(turn) * INTERVAL 1 MINUTE AS updated FROM ok GROUP BY chat_id),
+    pages AS (SELECT chat_id, turn // 2 AS page, CAST(to_json(list({{'role': role, 'content': content}} ORDER BY turn)) AS VARCHAR)
+      AS messages FROM ok GROUP BY ALL)
+    SELECT chat_id, 'other' AS model_nm, CASE WHEN trim(coalesce(first_message, ''), {ad.SPACE_SQL}) = ''
+      THEN 'Chat - ' || strftime(created, '%H:%M')
+      ELSE 'other-' || left(first_message, 40) || CASE WHEN length(first_message) > 35 THEN '...' ELSE '' END END AS title,
+      first_message, n_messages, strftime(created, '%Y-%m-%dT%H:%M:%S') AS created_at, strftime(updated, '%Y-%m-%dT%H:%M:%S')
+      AS updated_at, page, messages FROM rows JOIN pages USING (chat_id)""",
 )
 def stream_chat_store(spark, sf):
-    """System turns stand for failed calls."""
+    """Current rows with their histories, in pages of two turn numbers. System turns stand for failed calls."""
     ad.ship(spark)
     schema = spark.read.parquet(f"{sf}/conversations.parquet").schema
     source = spark.readStream.schema(schema).option("pathGlobFilter", "conversations.parquet").parquet(sf)
     minute = F.make_dt_interval(mins=F.col("turn").cast("int"))
     turns = source.select(
-        F.col("conv_id").alias("chat_id"), "turn", "role", F.col("text").alias("content"),
+        F.col("conv_id").alias("chat_id"), "turn", "role", F.col("text").alias("content"), F.lit("other").alias("model_nm"),
         (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + minute).alias("ts"),
         F.when(F.col("role") == "system", F.lit("failed")).alias("error"),
     )
     target = scratch_path(spark, "chat-store")
-    jobs.stream_chat_store(turns, target, scratch_path(spark, "stream")).awaitTermination()
-    return jobs.chat_store_headers(spark.read.parquet(target))
+    jobs.stream_chat_store(turns, target, scratch_path(spark, "stream"), page_turns=2).awaitTermination()
+    pages = jobs.chat_pages(spark.read.parquet(target))
+    sent = F.to_json(F.transform("messages", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))))
+    return jobs.chat_store_headers(pages).join(pages.select("chat_id", "page", sent.alias("messages")), "chat_id")

@@ -124,9 +124,9 @@ def topk_l2(spark, sf):
 
 @query("knn_cross", f"{COSINE_HITS_SQL} SELECT query_id, rank, id, round(distance, 6) AS distance FROM r WHERE rank <= 10")
 def knn_cross(spark, sf):
-    """The way taken when the questions outgrow a broadcast: blocks against blocks."""
+    """The way taken when the questions outgrow a broadcast: blocks of them, one after the other."""
     return _rounded(
-        nearest.top_k(ad.vectors(spark, sf), ad.label_centres(spark, sf), 10, WIDTH, max_broadcast_rows=0)
+        nearest.top_k(ad.vectors(spark, sf), ad.label_centres(spark, sf), 10, WIDTH, max_broadcast_rows=4)
     )
 
 
@@ -144,23 +144,22 @@ def hit_rank(spark, sf):
 
 @query(
     "topk_ann",
-    f"{COSINE_HITS_SQL} SELECT count(DISTINCT query_id) AS n_queries, count(*) AS n_exact, true AS recalled FROM r WHERE rank <= 5",
+    f"""WITH v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS vector FROM embeddings), d AS (SELECT q.id AS query_id, v.id,
+      {COSINE_SQL.format(x='q.vector', y='v.vector')} AS distance FROM v q, v WHERE q.id % 50 = 0),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM d)
+    SELECT query_id, rank, id, round(distance, 6) AS distance, true AS certified, 1.0::DOUBLE AS recall FROM r WHERE rank <= 5""",
 )
 def topk_ann(spark, sf):
-    """Whether the hits of the index hold 0.9 of the exact ones of all questions.
-
-    Four of eight cells find 0.82 of them in these vectors, which hardly cluster, and six 0.98.
-    """
-    rows, asked = ad.vectors(spark, sf), ad.label_centres(spark, sf)
+    """Every vector with an id divisible by 50 asks all of them; beside each hit the part of the exact hits that were found."""
+    rows = ad.vectors(spark, sf)
+    asked = rows.where(F.col("id") % 50 == 0).withColumnRenamed("id", "query_id")
     index = ann.build(rows, scratch_path(spark, "cells"), WIDTH, cells=8)
+    found = index.search(asked, 5, probe=2)
     exact = nearest.top_k(rows, asked, 5, WIDTH).select("query_id", "id")
-    found = index.search(asked, 5, probe=6).select("query_id", "id", F.lit(1).alias("hit"))
-    per_query = (
-        exact.join(found, ["query_id", "id"], "left")
-        .groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.count("hit").alias("hits"))
-    )
-    return per_query.agg(
-        F.count(F.lit(1)).alias("n_queries"), F.sum("n").alias("n_exact"), (F.sum("hits") >= 0.9 * F.sum("n")).alias("recalled")
+    hit = exact.join(found.select("query_id", "id", F.lit(1).alias("hit")), ["query_id", "id"], "left")
+    recall = hit.groupBy("query_id").agg((F.count("hit") / F.count(F.lit(1))).alias("recall"))
+    return found.join(recall, "query_id").select(
+        "query_id", F.col("rank").cast("bigint").alias("rank"), "id", F.round("distance", 6).alias("distance"), "certified", "recall"
     )
 
 

@@ -70,10 +70,48 @@ def test_fewest_copies():
 def test_several_blocks_give_the_same(spark):
     rows, queries = data()
     c, q = spark.createDataFrame(rows, VEC), spark.createDataFrame(queries, "query_id BIGINT, vector ARRAY<FLOAT>")
-    hits = nearest._rank(nearest._block_hits(c, q, 4, 8, "cosine", block_rows=6), 4)
+    hits = nearest._block_hits(c, q, 4, 8, "cosine", block_rows=6)
     assert sorted((r.query_id, r["rank"], r.id) for r in hits.collect()) == brute(rows, queries, 4, "cosine")
 
 
+@pytest.mark.parametrize("metric", ["cosine", "l2"])
+def test_gathered_rows_are_passed_over_without_loss(metric):
+    """Clusters far apart: most gatherings cannot hold a hit of most questions."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    middles = rng.normal(size=(6, 16)) * 20
+    x = np.concatenate([middles[rng.integers(0, 6, 2_000)] + rng.normal(size=(2_000, 16)) for _ in range(4)])
+    x[::7] = x[3]
+    q = middles[rng.integers(0, 6, 40)] + rng.normal(size=(40, 16))
+    best = nearest._Best(q, 5, metric)
+    for i in range(0, len(x), 2_000):
+        best.add(x[i : i + 2_000], pa.array(np.arange(i, i + 2_000)), np.arange(40))
+    exact = nearest._exact(q.repeat(len(x), 0), np.tile(x, (40, 1)), (q**2).sum(1).repeat(len(x)), np.tile((x**2).sum(1), 40), metric).reshape(40, -1)
+    for i in range(40):
+        want = np.lexsort((np.arange(len(x)), exact[i].round(12)))[:5]
+        own = best.table.filter(pa.compute.equal(best.table["q"], i))
+        assert np.allclose(own["distance"].to_numpy(), exact[i][want], atol=1e-9)
+    assert best.compared < 0.6 * 40 * len(x)
+
+
+def test_blocks_move_no_corpus_row(spark, monkeypatch):
+    plans = []
+
+    def kept(df, label, real=nearest.materialise):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return real(df, label)
+
+    monkeypatch.setattr(nearest, "materialise", kept)
+    rows, queries = data()
+    c, q = spark.createDataFrame(rows, VEC), spark.createDataFrame(queries, "query_id BIGINT, vector ARRAY<FLOAT>")
+    nearest.top_k(c, q, 4, 8, max_broadcast_rows=5)
+    hits = [plan for label, plan in plans if label == "hits"]
+    assert len(hits) == 4
+    for plan in hits:  # the one exchange deals out hits: k a question and task
+        assert plan.count("Exchange") == 1 and plan.index("Exchange") < plan.index("MapInArrow")
+
+
 def test_odd_vectors_are_never_hits(spark):
     c = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, [1.0]), (4, None), (5, [float("nan"), 1.0])], VEC)
     q = spark.createDataFrame([(1, [1.0, 1.0]), (2, [0.0, 0.0]), (3, None)], "query_id BIGINT, vector ARRAY<FLOAT>")
@@ -141,8 +179,26 @@ def test_ann_recall(spark, tmp_path):
     c = spark.createDataFrame(rows, VEC)
     q = c.where("id < 40").selectExpr("id AS query_id", "vector")
     index = ann.build(c, str(tmp_path / "cells"), 8, cells=10)
-    near = {(r.query_id, r.id) for r in index.search(q, 5, probe=6).collect()}
     true = {(r.query_id, r.id) for r in nearest.top_k(c, q, 5, 8).collect()}
-    assert len(near & true) / len(true) >= 0.9
-    every = {(r.query_id, r.id) for r in index.search(q, 5, probe=10).collect()}
-    assert every == true
+    some = index.search(q, 5, probe=4, max_probe=7).collect()
+    assert len({(r.query_id, r.id) for r in some} & true) / len(true) >= 0.9
+    for r in some:  # what is certified is exact
+        assert not r.certified or (r.query_id, r.id) in true
+    every = index.search(q, 5, probe=1).collect()
+    assert {(r.query_id, r.id) for r in every} == true and all(r.certified for r in every)
+
+
+def test_ann_leaves_far_cells_alone(spark, tmp_path):
+    rng = np.random.default_rng(7)
+    middles = np.eye(8)[:6] * 10
+    rows = [(i, [float(v) for v in middles[i % 6] + rng.normal(size=8) * 0.1]) for i in range(600)]
+    c = spark.createDataFrame(rows + [(9_000 + i, rows[4][1]) for i in range(200)], VEC)
+    q = c.where("id < 30").selectExpr("id AS query_id", "vector")
+    index = ann.build(c, str(tmp_path / "cells"), 8, cells=6)
+    found = index.search(q, 5, probe=1, max_probe=1).collect()
+    assert all(r.certified for r in found)
+    assert {(r.query_id, r.id) for r in found} == {(r.query_id, r.id) for r in nearest.top_k(c, q, 5, 8).collect()}
+    assert index.search(q.limit(0), 5, probe=1).count() == 0
+    few = index.search(q.limit(1), 1_000, probe=1, max_probe=2).collect()  # more than there are: nothing is certified
+    assert not any(r.certified for r in few)
+    assert index.search(q.limit(1), 1_000, probe=1).count() == 800
