@@ -23,12 +23,10 @@ WINDOW = 8
 
 @dataclass(frozen=True)
 class LineLimits:
-    """A line is common when more than ``min_docs`` documents and more than ``max_share`` of its host's
-    documents hold it; a document is depleted when fewer than ``min_words`` words or less than
-    ``min_left`` of its words are left."""
+    """A line is common when more than ``max_docs`` documents of its host hold it, however large the host; a document
+    is depleted when fewer than ``min_words`` words or less than ``min_left`` of its words are left."""
 
-    min_docs: int = 20
-    max_share: float = 0.01
+    max_docs: int = 20
     min_words: int = 20
     min_left: float = 0.3
     min_doc_words: int = 20
@@ -120,17 +118,14 @@ def line_hash(line: Column) -> Column:
 
 
 def common_lines(rows: DataFrame, limits: LineLimits) -> tuple[DataFrame, DataFrame]:
-    """Lines ``host, line`` above the limits, and the number of documents of every line, from ``host, lines``."""
+    """Lines ``host, line`` above the limit, and the number of documents of every line, from ``host, lines``."""
     # the lines of a document are distinct inside its row, so partial counts need no document
     counts = materialise(
         rows.select("host", F.explode(F.array_distinct("lines.line")).alias("line"))
         .groupBy("host", "line").agg(F.count(F.lit(1)).alias("__n")),
         "line-counts",
     )
-    sizes = rows.groupBy("host").agg(F.count(F.lit(1)).alias("docs"))
-    common = counts.where(F.col("__n") > limits.min_docs).join(sizes, "host").where(
-        F.col("__n") > limits.max_share * F.col("docs")
-    )
+    common = counts.where(F.col("__n") > limits.max_docs)
     return materialise(common.select("host", "line"), "common-lines"), counts
 
 

@@ -16,8 +16,7 @@ cover AS (SELECT rid, sum(least(8, i - coalesce(before, -8)))::BIGINT AS n_repea
           (SELECT rid, i, lag(i) OVER (PARTITION BY rid ORDER BY i) AS before FROM twin) GROUP BY rid),
 l AS (SELECT rid, source, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')) AS line,
              len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM w, LATERAL unnest(lines) AS u(line)),
-hosts AS (SELECT source, count(*) AS docs FROM d GROUP BY source),
-common AS (SELECT source, line FROM (SELECT source, line, count(DISTINCT rid) AS n FROM l GROUP BY source, line) JOIN hosts USING (source) WHERE n > 20 AND n > 0.01 * docs),
+common AS (SELECT source, line FROM l GROUP BY source, line HAVING count(DISTINCT rid) > 20),
 gone AS (SELECT rid, sum(n)::BIGINT AS n FROM l JOIN common USING (source, line) GROUP BY rid),
 base AS (SELECT rid, doc_id, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
                 (length(text) - length(translate(text, '#*$%&|<>', '')))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,

@@ -225,10 +225,20 @@ def test_log_bilinear_is_normalised():
 def test_line_rules_remove_and_reject(spark):
     rows = [(i, "Common  LINE here\n" + " ".join(f"w{i}x{j}" for j in range(25 if i % 2 else 2)), "h") for i in range(30)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    got = {r.doc_id: r for r in apply_line_rules(docs, LineLimits(min_docs=5, min_doc_words=3)).collect()}
+    got = {r.doc_id: r for r in apply_line_rules(docs, LineLimits(max_docs=5, min_doc_words=3)).collect()}
     assert got[1].kept and not got[2].kept and got[1].common_words == 3 and got[1].cleaned == rows[1][1].split("\n")[1]
 
 
+@pytest.mark.parametrize("host_rows", [60, 3_000])
+def test_the_limit_of_lines_is_the_same_in_a_large_host(spark, host_rows):
+    """A host with a third of all rows: 21 documents make a line common there too, 20 do not."""
+    own = " ".join(f"w{j}" for j in range(30))
+    rows = [(i, f"{own} {i}\n" + ("shared by more" if i < 21 else "shared by less" if i < 41 else f"own {i}"), "hot") for i in range(host_rows)]
+    rows += [(i, f"{own} {i}", f"h{i % 50}") for i in range(host_rows, 3 * host_rows)]
+    got = apply_line_rules(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)).collect()
+    assert {r.doc_id for r in got if r.n_common_lines} == set(range(21)) and all(r.kept for r in got)
+
+
 def test_snapshots(spark):
     rows = [(1, 0, "u", "a"), (2, 0, "u", "a"), (2, 1, "b", "c"), (3, 0, "u", "a"), (3, 1, "b", "c"), (4, 0, "u", "z"),
             (None, 0, "u", "z"), (5, 0, None, None), (6, 0, "u", "a"), (6, 0, "u", "a")]
