@@ -54,25 +54,34 @@ def even_hash(*keys: Column) -> Column:
     return F.shiftright(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long"), 1)
 
 
-def maybe_among(df: DataFrame, code: Column, keys: DataFrame, bits_per_key: int = 16, most_words: int = 1 << 20) -> DataFrame:
-    """The rows of ``df`` whose ``code`` (a long) is among those of ``keys`` (column ``code``), and a few others.
+def _slot(code: Column, words: int) -> tuple[Column, Column]:
+    slot = F.pmod(code, F.lit(words * 64))
+    return F.shiftright(slot, 6), F.pmod(slot, F.lit(64)).cast("int")
+
+
+def marks_of(keys: DataFrame, bits_per_key: int = 16, most_words: int = 1 << 20) -> tuple[DataFrame, int]:
+    """``word, marks`` for ``keys`` (a column ``code`` of longs), and the number of words.
 
-    Nothing is lost: it only spares a shuffle most rows that meet nothing. The keys are marked in a table of
-    at most ``most_words`` rows of 64 bits, which is therefore small enough to broadcast; beyond four
-    million keys it tells fewer apart, and all rows may pass.
+    A code has a bit in one of at most ``most_words`` words of 64 bits, whatever the number of keys, so the
+    table may be broadcast or fetched. Beyond four million keys it tells fewer of them apart.
     """
     asked = -(-keys.count() * bits_per_key // 64)
     words = min(most_words, 1 << max(asked, 1).bit_length())
+    word, bit = _slot(F.col("code"), words)
+    marked = keys.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit"))
+    return marked.groupBy("word").agg(F.bit_or("bit").alias("marks")), words
 
-    def place(value: Column) -> tuple[Column, Column]:
-        slot = F.pmod(value, F.lit(words * 64))
-        return F.shiftright(slot, 6), F.pmod(slot, F.lit(64)).cast("int")
 
-    word, bit = place(F.col("code"))
-    marked = keys.select(word.alias("__word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit"))
-    marks = marked.groupBy("__word").agg(F.bit_or("bit").alias("__marks"))
-    word, bit = place(code)
-    tagged = df.withColumn("__word", word).withColumn("__bit", bit).join(F.broadcast(marks), "__word")
+def maybe_among(df: DataFrame, code: Column, keys: DataFrame, bits_per_key: int = 16, most_words: int = 1 << 20) -> DataFrame:
+    """The rows of ``df`` whose ``code`` (a long) is among those of ``keys`` (column ``code``), and a few others.
+
+    Nothing is lost: it only spares a shuffle most rows that meet nothing. Beyond four million keys more and
+    more rows pass.
+    """
+    marks, words = marks_of(keys, bits_per_key, most_words)
+    word, bit = _slot(code, words)
+    marks = F.broadcast(marks.select(F.col("word").alias("__word"), F.col("marks").alias("__marks")))
+    tagged = df.withColumn("__word", word).withColumn("__bit", bit).join(marks, "__word")
     hit = F.call_function("shiftright", F.col("__marks"), F.col("__bit")).bitwiseAND(F.lit(1)) == 1
     return tagged.where(hit).select(*[F.col(f"`{c}`") for c in df.columns])
 
