@@ -33,7 +33,7 @@ SCALE = 1_000_000_000
 #: Numbers of a block's matrix of shares, terms by sources.
 BLOCK_CELLS = 1 << 20
 #: Bytes of the texts whose chunks are counted together.
-BLOCK_BYTES = 1 << 25
+BLOCK_BYTES = 1 << 23
 
 
 @dataclass(frozen=True)
