@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.rows import unnest_rows
-from ..operators.ordinals import with_ordinal
 
 # Fixed value: the widest ingest of the one-document-per-sample job (rows 0..1000).
 HARD_CAP = 1001
-# Rows that one task may merge.
-SMALL_LIMIT = 100_000
+# Keys drawn to set bounds, and keys among which the last step looks.
+BOUND_SAMPLE, LAST_KEYS = 1_000, 20_000
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -48,18 +47,62 @@ def corpus_scan(
     return spread(df, *spread_by) if spread_by else df
 
 
+def nth_key(df: DataFrame, n: int, order: Sequence[str]) -> Row | None:
+    """The ``n``-th least key of ``order`` columns (from 1; nulls first, copies counted); None if there are fewer rows.
+
+    Two drawn keys that should lie around it are held against all keys by counting, and what lies between
+    them is looked at again until little is left. Each step is a scan of the key columns that
+    brings back four counts; nothing is sorted but the last keys, and nothing shuffled.
+    """
+    span, left = df.select(*order), n
+    while True:
+        size = span.count()
+        if left > size:
+            return None
+        if size <= LAST_KEYS:
+            return span.orderBy(*order).offset(left - 1).first()
+        drawn = span.sample(min(1.0, BOUND_SAMPLE / size), seed=7).orderBy(*order).collect() or span.take(1)
+        at, margin = len(drawn) * left // size, 1 + int(3 * len(drawn) ** 0.5)
+        low, high = drawn[max(0, at - margin)], drawn[min(len(drawn) - 1, at + margin)]
+        below = [_compared(df, order, low), _compared(df, order, high)]
+        tests = [t for less, up_to in below for t in (less, up_to)]
+        under_low, to_low, under_high, to_high = span.agg(*[F.count_if(t) for t in tests]).first()
+        if under_low < left <= to_low:
+            return low
+        if under_high < left <= to_high:
+            return high
+        if left <= under_low:
+            span = span.where(tests[0])
+        elif left <= under_high:
+            span, left = span.where(~tests[1] & tests[2]), left - to_low
+        else:
+            span, left = span.where(~tests[3]), left - to_high
+
+
+def _compared(df: DataFrame, order: Sequence[str], key: Row) -> tuple[Column, Column]:
+    """Whether a row's key is less than ``key``, and whether it is not greater; never null."""
+    bound = [F.lit(value).cast(df.schema[c].dataType) for c, value in zip(order, key)]
+    if len(order) == 1 and key[0] is not None:  # a plain comparison reaches the scan
+        own = F.col(order[0])
+        return own.isNull() | (own < bound[0]), own.isNull() | (own <= bound[0])
+    own, other = F.struct(*order), F.struct(*[b.alias(c) for c, b in zip(order, bound)])
+    return own < other, own <= other
+
+
 def ingest_limit(df: DataFrame, n: int | None, order: Sequence[str]) -> DataFrame:
     """First ``n`` rows in ``order``; none or 0 keeps all.
 
-    Apply it before any unnesting: it counts samples. A small ``n`` is cut in every
-    partition and merged; a large one would pass through one task, so positions
-    are worked out instead.
+    Apply it before any unnesting: it counts samples. The ``n``-th key is looked for, and rows are
+    filtered by it where they are, whatever ``n`` is. Of rows that share it as many stay as are wanted.
     """
-    if not n:
+    bound = nth_key(df, n, order) if n else None
+    if bound is None:
         return df
-    if n <= SMALL_LIMIT:
-        return df.orderBy(*order).limit(n)
-    return with_ordinal(df, order, (), "__pos").where(F.col("__pos") < n).drop("__pos")
+    less, up_to = _compared(df, order, bound)
+    before, through = df.agg(F.count_if(less), F.count_if(up_to)).first()
+    if through == n:
+        return df.where(up_to)
+    return df.where(less).unionByName(df.where(up_to & ~less).limit(n - before))
 
 
 def ingest_hard_cap(df: DataFrame, n: int | None, order: Sequence[str], cap: int = HARD_CAP) -> DataFrame:

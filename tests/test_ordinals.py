@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from gleaner.operators import ordinals as od
 from gleaner.sources import collection as co
-
+from gleaner.sources import corpus
 
 
 def rows(spark):
@@ -131,3 +131,25 @@ def test_collection(spark, tmp_path):
         store.check("hash-16", "cosine", 16)
     store.replace(rows.limit(1))
     assert store.read(spark).count() == 1
+
+
+@pytest.mark.parametrize("last", [20_000, 10])
+def test_the_first_rows_by_their_nth_key(spark, monkeypatch, last):
+    """One way for every number of rows; keys with nulls, copies, and a key of a third of all rows."""
+    monkeypatch.setattr(corpus, "LAST_KEYS", last)
+    monkeypatch.setattr(corpus, "BOUND_SAMPLE", 400)
+    rows = [(None if i % 50 == 0 else "hot" if i % 3 == 0 else f"k{i * 7919 % 1000:03d}", i, "x" * 50) for i in range(1_000)]
+    df = spark.createDataFrame(rows, "k STRING, i INT, text STRING").repartition(5)
+    by_both = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+    for n in (500,) if last == 10 else (20, 500, 1_000):
+        assert sorted(r.i for r in corpus.ingest_limit(df, n, ["k", "i"]).collect()) == sorted(r[1] for r in by_both[:n])
+        assert sorted(r.i for r in corpus.ingest_limit(df, n, ["i"]).collect()) == list(range(n))
+        some = corpus.ingest_limit(df, n, ["k"]).collect()
+        assert len(some) == n and sorted((r.k or "") for r in some) == sorted((r[0] or "") for r in by_both[:n])
+    assert corpus.ingest_limit(df, 1_001, ["i"]).count() == 1_000 and corpus.ingest_limit(df.limit(0), 3, ["k"]).count() == 0
+
+
+def test_a_limit_moves_no_row(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = corpus.ingest_limit(df, 150, ["doc_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan and "PushedFilters: [Or(" in plan
