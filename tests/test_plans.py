@@ -33,4 +33,5 @@ def test_limit_comes_before_unnesting(spark):
     from suite.adapters import samples
 
     p = passages_base(ingest_limit(samples(spark, SF), 10, ["id"]))._jdf.queryExecution().executedPlan().toString()
-    assert p.index("Generate") < p.index("TakeOrderedAndProject")
+    # a plan names what comes last first
+    assert p.index("Generate") < p.rindex("Filter (") and "TakeOrderedAndProject" not in p and "Sort" not in p
