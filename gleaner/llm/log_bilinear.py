@@ -1,12 +1,17 @@
 """Log-probability of texts under a log-bilinear neural model.
 
-The words of all training texts are counted by Spark. The most frequent ones, the end of a text, and one
-class for all other words are the outputs of the model; a word of that class has its share of the
-class's count. The model predicts an output from the two nearest frequent words before it: their
-vectors, each through a matrix of its place, add up to a prediction, and its products with the output
-vectors are the scores. It is trained with noise-contrastive estimation in numpy, by every task on all its
-training texts from the same start, and the tasks' parameters are averaged in blocks, weighted by tokens.
-Scores are normalised exactly: distinct contexts are multiplied with all outputs in batches.
+The words of all training texts are counted by Spark. Words above a count, the end of a text, and one class for
+all rarer words are the outputs of the model; a rarer word has its share of the class's count. Outputs are
+factored: words in order of frequency are cut into about the root of their number of classes, and a word's
+probability is that of its class times its own inside the class, so a normalised score needs two short sums. The
+model predicts both from the two nearest words before that have an output: their vectors, each through a matrix of
+its place, add up to a prediction, whose products with the class and word vectors are the scores.
+
+Every text is cut into words once and written as the numbers of its outputs. Training texts are dealt by a hash to
+rounds and, inside a round, to groups, as many as the number of tokens asks for and not the cluster. A group is
+learnt in numpy with noise-contrastive estimation, from the parameters that the last round ended with; then
+each parameter row is averaged over the groups that touched it, weighted by touches. Scores therefore do not depend
+on the partitions of the input.
 """
 
 from __future__ import annotations
@@ -17,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
@@ -25,22 +30,25 @@ from .common import packed, ship, unpacked, without
 from .packing import size_class
 
 RESULT = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+#: Parameter rows of a block, groups whose sums meet in one task, and the most tasks of a round.
+BLOCK_ROWS, FAN, MOST_TASKS = 4096, 64, 20_000
 
 
 @dataclass(frozen=True)
 class LblSettings:
-    """``outputs``: frequent words with an output of their own. ``remembered``: words whose counts the workers
-    hold, a bound; rarer ones are joined. Texts whose crc32(key) mod ``folds`` is ``held_out`` are not
-    learnt from."""
+    """``outputs``: most words with an output of their own, which bounds the model (33 numbers a word); rarer words
+    are joined. ``group_tokens``: tokens of a group of one round, about. Texts whose crc32(key) mod ``folds``
+    is ``held_out`` are not learnt from."""
 
-    outputs: int = 1024
-    remembered: int = 60_000
+    outputs: int = 60_000
     width: int = 16
+    rounds: int = 3
+    group_tokens: int = 3_000_000
     batch: int = 2048
-    noise: int = 64
+    noise: int = 32
     noise_per_token: float = 8.0
+    word_noise: int = 4
     rate: float = 0.1
-    blocks: int = 32
     folds: int = 7
     held_out: int = 2
     flush: int = 300_000
@@ -53,32 +61,45 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode().translate(_LOWER).split() if text else []
 
 
-class Lbl:
-    """Outputs: 0..H-1 frequent words, H every other word, H+1 the end; H+2 is the start, a context only."""
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 
-    def __init__(self, prior: np.ndarray, settings: LblSettings) -> None:
-        self.s, self.k = settings, len(prior)
-        self.log_prior = np.log(prior).astype(np.float32)
-        self.prior = prior
-        r = np.random.default_rng(7)
-        d = settings.width
-        self.context = (r.standard_normal((self.k + 1, d)) * 0.3).astype(np.float32)
-        self.output = np.zeros((self.k, d), np.float32)
-        self.bias = self.log_prior.copy()
-        self.place = np.stack([np.eye(d), np.eye(d) * 0.5]).astype(np.float32)
 
-    def arrays(self) -> list[np.ndarray]:
-        return [self.context, self.output, self.bias, self.place]
+class Lbl:
+    """Outputs: 0..H-1 words by falling count, H every other word, H+1 the end; H+2 is the start, a context only.
 
-    def flat(self) -> np.ndarray:
-        return np.concatenate([a.ravel() for a in self.arrays()])
+    ``rows`` holds all parameters: context vectors, word vectors and class vectors, each with a bias as its last
+    number (unused in contexts), then the matrices of the two places; ``memory`` the squared steps of each row.
+    """
 
-    def load(self, flat: np.ndarray) -> "Lbl":
-        at = 0
-        for a in self.arrays():
-            a[...] = flat[at : at + a.size].reshape(a.shape)
-            at += a.size
-        return self
+    def __init__(self, counts: np.ndarray, settings: LblSettings) -> None:
+        self.s, self.k = settings, len(counts)
+        words, d = self.k - 2, settings.width
+        mass = np.cumsum(np.sqrt(counts[:words]))
+        cut = np.floor((mass - mass[:1]) / mass[-1] * np.ceil(np.sqrt(words))).astype(np.int64) if words else np.empty(0, np.int64)
+        of = np.unique(cut, return_inverse=True)[1]
+        n = int(of[-1]) + 1 if words else 0
+        self.class_of = np.concatenate([of, [n, n + 1]]).astype(np.int32)
+        self.starts = np.searchsorted(self.class_of, np.arange(n + 3))
+        self.sizes = np.diff(self.starts)
+        self.prior = counts / counts.sum()
+        self.class_prior = np.add.reduceat(self.prior, self.starts[:-1])
+        inside = self.prior / self.class_prior[self.class_of]
+        self.log_inside = np.log(inside).astype(np.float32)
+        self.log_class = np.log(self.class_prior).astype(np.float32)
+        self.word_at = self.k + 1
+        self.class_at = self.word_at + self.k
+        self.place_at = self.class_at + n + 2
+        r = np.random.default_rng(7)
+        self.rows = np.zeros((self.place_at + 2 * d, d + 1), np.float32)
+        self.rows[: self.word_at, :d] = r.standard_normal((self.k + 1, d)) * 0.3
+        self.rows[self.word_at : self.class_at, d] = self.log_inside
+        self.rows[self.class_at : self.place_at, d] = self.log_class
+        self.rows[self.place_at :, :d] = np.concatenate([np.eye(d), np.eye(d) * 0.5])
+        self.memory = np.full(len(self.rows), 0.1, np.float32)
+        self.touched = np.zeros(len(self.rows), np.float32)
+        # Rising within and over all classes: a draw inside a class is a draw between two of its steps.
+        self._steps, self._class_steps = np.concatenate(([0], np.cumsum(self.prior))), np.cumsum(self.class_prior)
 
     def sequence(self, groups: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Targets of texts (numbers below H+1, without the end) and the two contexts of each."""
@@ -92,62 +113,116 @@ class Lbl:
         return seq[real], seq[first][real], seq[second][real]
 
     def predict(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return self.context[a] @ self.place[0] + self.context[b] @ self.place[1]
-
-    def learn(self, target: np.ndarray, a: np.ndarray, b: np.ndarray, r: np.random.Generator, memory: list[np.ndarray]) -> None:
-        """One step of noise-contrastive estimation with Adagrad; the batch shares its noise."""
-        s, n = self.s, len(target)
-        noise = np.searchsorted(self._steps, r.random(s.noise)).clip(0, self.k - 1)
+        """Predictions, with a one behind them for the bias."""
+        d, place = self.s.width, self.rows[self.place_at :, : self.s.width]
+        out = np.ones((len(a), d + 1), np.float32)
+        out[:, :d] = self.rows[a, :d] @ place[:d] + self.rows[b, :d] @ place[d:]
+        return out
+
+    def learn(self, target: np.ndarray, a: np.ndarray, b: np.ndarray, r: np.random.Generator) -> None:
+        """One step of noise-contrastive estimation, of classes with noise that the batch shares and of words inside
+        their class with noise of their own; each touched row moves by its own rate (Adagrad)."""
+        s, d = self.s, self.s.width
         h = self.predict(a, b)
+        group = self.class_of[target]
+        noise = np.searchsorted(self._class_steps, r.random(s.noise)).clip(0, len(self.sizes) - 1)
+        own, others = self.rows[self.class_at + group], self.rows[self.class_at + noise]
         log_k = np.float32(np.log(s.noise_per_token))
-        pos = np.einsum("nd,nd->n", h, self.output[target]) + self.bias[target] - self.log_prior[target] - log_k
-        neg = h @ self.output[noise].T + (self.bias - self.log_prior)[noise] - log_k
-        up = 1 / (1 + np.exp(pos))
-        down = -(s.noise_per_token / s.noise) / (1 + np.exp(-neg))
-        dh = up[:, None] * self.output[target] + down @ self.output[noise]
-        grads = [np.zeros_like(x) for x in self.arrays()]
-        np.add.at(grads[0], a, dh @ self.place[0].T)
-        np.add.at(grads[0], b, dh @ self.place[1].T)
-        np.add.at(grads[1], target, up[:, None] * h)
-        np.add.at(grads[1], noise, down.T @ h)
-        np.add.at(grads[2], target, up)
-        np.add.at(grads[2], noise, down.sum(axis=0))
-        grads[3][0], grads[3][1] = self.context[a].T @ dh, self.context[b].T @ dh
-        for x, g, m in zip(self.arrays(), grads, memory):
-            g /= n
-            m += g * g
-            x += s.rate * g / np.sqrt(m + 1e-8)
-
-    def fit(self, batches: Iterator[list[np.ndarray]], seed: int) -> int:
-        self._steps = np.cumsum(self.prior)
-        memory = [np.zeros_like(x) for x in self.arrays()]
+        up = _sigmoid(self.log_class[group] + log_k - np.einsum("nd,nd->n", h, own))
+        down = np.float32(-s.noise_per_token / s.noise) * _sigmoid(h @ others.T - self.log_class[noise] - log_k)
+        dh = up[:, None] * own + down @ others
+        at, grads = [self.class_at + group, self.class_at + noise], [up[:, None] * h, down.T @ h]
+
+        many = np.flatnonzero(self.sizes[group] > 1)
+        if len(many):
+            t, c, hm = target[many], group[many], h[many]
+            low, high = self._steps[self.starts[c]], self._steps[self.starts[c + 1]]
+            draw = low[:, None] + r.random((len(many), s.word_noise)) * (high - low)[:, None]
+            wrong = np.searchsorted(self._steps, draw, side="right") - 1
+            wrong = np.clip(wrong, self.starts[c][:, None], self.starts[c + 1][:, None] - 1)
+            log_k = np.float32(np.log(s.word_noise))
+            own, others = self.rows[self.word_at + t], self.rows[self.word_at + wrong]
+            up = _sigmoid(self.log_inside[t] + log_k - np.einsum("nd,nd->n", hm, own))
+            down = -_sigmoid(np.einsum("nd,nkd->nk", hm, others) - self.log_inside[wrong] - log_k)
+            dh[many] += up[:, None] * own + np.einsum("nk,nkd->nd", down, others)
+            at += [self.word_at + t, (self.word_at + wrong).ravel()]
+            grads += [up[:, None] * hm, (down[:, :, None] * hm[:, None, :]).reshape(-1, d + 1)]
+
+        dh, place = dh[:, :d], self.rows[self.place_at :, :d]
+        for i, x in ((0, a), (d, b)):
+            grad = np.zeros((len(x), d + 1), np.float32)
+            grad[:, :d] = dh @ place[i : i + d].T
+            turn = np.zeros((d, d + 1), np.float32)
+            turn[:, :d] = self.rows[x, :d].T @ dh
+            at += [x, self.place_at + i + np.arange(d)]
+            grads += [grad, turn]
+        self._step(np.concatenate(at), np.concatenate(grads), len(target))
+
+    def _step(self, at: np.ndarray, grads: np.ndarray, weight: int) -> None:
+        order = np.argsort(at, kind="stable")
+        at = at[order]
+        first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+        rows, g = at[first], np.add.reduceat(grads[order], first, axis=0)
+        self.memory[rows] += np.einsum("nd,nd->n", g, g) / g.shape[1]
+        self.rows[rows] += self.s.rate * g / np.sqrt(self.memory[rows])[:, None]
+        self.touched[rows] += np.diff(np.append(first, len(at)))
+        self.touched[self.place_at :] += weight
+
+    def fit(self, texts: Iterator[np.ndarray], seed: tuple[int, ...], chunk: int = 200_000) -> None:
+        """Learn from texts in order, shuffled inside chunks of tokens."""
         r = np.random.default_rng(seed)
-        seen = 0
-        for groups in batches:
-            target, a, b = self.sequence(groups)
-            order = r.permutation(len(target))
-            for i in range(0, len(target), self.s.batch):
-                own = order[i : i + self.s.batch]
-                self.learn(target[own], a[own], b[own], r, memory)
-            seen += len(target)
-        return seen
+        groups, size = [], 0
+        for text in texts:
+            groups.append(text)
+            size += len(text) + 1
+            if size >= chunk:
+                self._learn_all(groups, r)
+                groups, size = [], 0
+        if groups:
+            self._learn_all(groups, r)
+
+    def _learn_all(self, groups: list[np.ndarray], r: np.random.Generator) -> None:
+        target, a, b = self.sequence(groups)
+        order = r.permutation(len(target))
+        for i in range(0, len(order), self.s.batch):
+            own = order[i : i + self.s.batch]
+            self.learn(target[own], a[own], b[own], r)
 
     def log_probs(self, target: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Normalised natural log-probabilities."""
         code = a.astype(np.int64) * (self.k + 1) + b
         distinct, which = np.unique(code, return_inverse=True)
         h = self.predict(distinct // (self.k + 1), distinct % (self.k + 1))
-        whole = np.empty(len(h), np.float32)
-        for i in range(0, len(h), 4096):
-            scores = h[i : i + 4096] @ self.output.T + self.bias
-            top = scores.max(axis=1)
-            np.exp(scores - top[:, None], out=scores)
-            whole[i : i + 4096] = top + np.log(scores.sum(axis=1))
-        own = np.empty(len(target), np.float32)
+        group = self.class_of[target]
+        classes, words = self.rows[self.class_at : self.place_at], self.rows[self.word_at : self.class_at]
+        whole = _log_sums(h, classes)
+        out = np.empty(len(target), np.float32)
         for i in range(0, len(target), 1 << 16):
             j = slice(i, i + (1 << 16))
-            own[j] = np.einsum("nd,nd->n", h[which[j]], self.output[target[j]])
-        return own + self.bias[target] - whole[which]
+            out[j] = np.einsum("nd,nd->n", h[which[j]], classes[group[j]])
+        out -= whole[which]
+        order = np.argsort(group, kind="stable")
+        ends = np.searchsorted(group[order], np.arange(len(self.sizes) + 1))
+        for c in np.flatnonzero((np.diff(ends) > 0) & (self.sizes > 1)):
+            own = order[ends[c] : ends[c + 1]]
+            seen, place = np.unique(which[own], return_inverse=True)
+            sums = _log_sums(h[seen], words[self.starts[c] : self.starts[c + 1]])
+            for i in range(0, len(own), 1 << 16):
+                j = own[i : i + (1 << 16)]
+                out[j] += np.einsum("nd,nd->n", h[which[j]], words[target[j]]) - sums[place[i : i + (1 << 16)]]
+        return out
+
+
+def _log_sums(h: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Logarithm of the sum of exponentials of each prediction's scores."""
+    out = np.empty(len(h), np.float32)
+    for i in range(0, len(h), 4096):
+        scores = h[i : i + 4096] @ vectors.T
+        top = scores.max(axis=1)
+        scores -= top[:, None]
+        np.exp(scores, out=scores)
+        out[i : i + 4096] = top + np.log(scores.sum(axis=1))
+    return out
 
 
 def _count(batches: Iterator[pd.DataFrame], flush: int) -> Iterator[pd.DataFrame]:
@@ -162,19 +237,6 @@ def _count(batches: Iterator[pd.DataFrame], flush: int) -> Iterator[pd.DataFrame
         yield pd.DataFrame({"word": list(seen), "c": list(seen.values())})
 
 
-def _chunks(batches: Iterator[pd.DataFrame], number: dict[bytes, int], other: int, tokens: int = 200_000) -> Iterator[list[np.ndarray]]:
-    out, size = [], 0
-    for batch in batches:
-        for text in batch["text"]:
-            out.append(np.array([number.get(w, other) for w in words_of(text)], np.int32))
-            size += len(out[-1]) + 1
-            if size >= tokens:
-                yield out
-                out, size = [], 0
-    if out:
-        yield out
-
-
 def _least_count(counts: DataFrame, most: int) -> int:
     """The least count that no more than ``most`` words reach, from a histogram of bounded size."""
     classes = counts.groupBy(size_class(F.col("c")).alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()
@@ -187,6 +249,89 @@ def _least_count(counts: DataFrame, most: int) -> int:
     return least if least is not None else (max(classes)[0] * 2 if classes else 1)
 
 
+def _add(sums: pd.DataFrame) -> pd.DataFrame:
+    """Touches and weighted rows of one block, added over groups in their order."""
+    sums = sums.sort_values("part")
+    touches = np.sum([np.frombuffer(x, np.float64) for x in sums["touches"]], axis=0)
+    values = np.sum([np.frombuffer(x, np.float32).astype(np.float64) for x in sums["sums"]], axis=0)
+    return pd.DataFrame({
+        "block": sums["block"].iloc[:1], "part": sums["part"].iloc[:1] // FAN,
+        "touches": [touches.tobytes()], "sums": [values.astype(np.float32).tobytes()],
+    })
+
+
+_SUMS = "block int, part long, touches binary, sums binary"
+
+
+def train(numbered: DataFrame, counts: np.ndarray, settings: LblSettings) -> tuple[np.ndarray, np.ndarray] | None:
+    """``(rows, memory)`` of a model of the texts ``numbers`` (bytes), dealt by the hash ``h``; None without texts."""
+    spark, s = numbered.sparkSession, settings
+    tokens = max(int(counts.sum()), 1)
+    groups = max(1, -(-tokens // (s.rounds * s.group_tokens)))
+    tasks = min(groups, MOST_TASKS)
+    kind = _kind(counts)
+    state = None
+
+    for step in range(s.rounds):
+        shared = spark.sparkContext.broadcast((counts, state))
+
+        def fit(batches: Iterator[pd.DataFrame], step: int = step, shared=shared) -> Iterator[pd.DataFrame]:
+            own, before = shared.value
+
+            def texts() -> Iterator[tuple[int, np.ndarray]]:
+                for batch in batches:
+                    for g, x in zip(batch["part"], batch["numbers"]):
+                        yield int(g), np.frombuffer(x, kind)
+
+            rest = texts()
+            ahead = next(rest, None)
+            while ahead is not None:
+                part, model = ahead[0], Lbl(own, s)
+                if before is not None:
+                    model.rows[...], model.memory[...] = before
+
+                def of_part() -> Iterator[np.ndarray]:
+                    nonlocal ahead
+                    while ahead is not None and ahead[0] == part:
+                        yield ahead[1]
+                        ahead = next(rest, None)
+
+                model.fit(of_part(), (11, step, part))
+                values = np.column_stack([model.rows, model.memory])
+                for i in range(0, len(values), BLOCK_ROWS):
+                    weight = model.touched[i : i + BLOCK_ROWS]
+                    if weight.any():
+                        sums = weight[:, None] * values[i : i + BLOCK_ROWS]
+                        raw = [weight.astype(np.float64).tobytes()], [sums.astype(np.float32).tobytes()]
+                        yield pd.DataFrame({"block": i // BLOCK_ROWS, "part": part, "touches": raw[0], "sums": raw[1]})
+
+        part = F.pmod(F.shiftright("h", 8), F.lit(groups)).alias("part")
+        dealt = numbered.where(F.pmod("h", F.lit(s.rounds)) == step).select("h", part, "numbers")
+        dealt = dealt.repartitionById(tasks, F.pmod("part", F.lit(tasks)).cast("int")).sortWithinPartitions("part", "h")
+        sums, left = dealt.select("part", "numbers").mapInPandas(fit, _SUMS), groups
+        while True:
+            sums = sums.groupBy("block", F.floor(F.col("part") / FAN)).applyInPandas(_add, _SUMS)
+            left = -(-left // FAN)
+            if left == 1:
+                break
+        done = sums.select("block", "touches", "sums").collect()
+        model = Lbl(counts, s)
+        if state is not None:
+            model.rows[...], model.memory[...] = state
+        for block, touches, total in done:
+            weight = np.frombuffer(touches, np.float64)
+            mean = np.frombuffer(total, np.float32).reshape(len(weight), -1) / np.maximum(weight, 1)[:, None]
+            at = np.flatnonzero(weight)
+            model.rows[block * BLOCK_ROWS + at] = mean[at, :-1]
+            model.memory[block * BLOCK_ROWS + at] = mean[at, -1]
+        state = model.rows, model.memory
+    return state
+
+
+def _kind(counts: np.ndarray) -> type:
+    return np.uint16 if len(counts) < 1 << 16 else np.uint32
+
+
 def score_texts(
     docs: DataFrame, settings: LblSettings = LblSettings(), key: str = "doc_id", text: str = "text", keep_text: bool = True
 ) -> DataFrame:
@@ -200,8 +345,9 @@ def score_texts(
     spark, s = docs.sparkSession, settings
     ship(spark)
     kept = without(docs, RESULT if keep_text else (*RESULT, text))
-    fold = F.pmod(F.crc32(F.coalesce(docs[key].cast("string"), F.lit("")).cast("binary")), F.lit(s.folds)) == s.held_out
-    rows = docs.select(packed(kept).alias("row"), docs[text].alias("text"), fold.alias("held_out"))
+    name = F.coalesce(docs[key].cast("string"), F.lit(""))
+    fold = F.pmod(F.crc32(name.cast("binary")), F.lit(s.folds)) == s.held_out
+    rows = docs.select(packed(kept).alias("row"), docs[text].alias("text"), fold.alias("held_out"), F.xxhash64(name, docs[text]).alias("h"))
     training = rows.where("NOT held_out").select("text")
     counts = materialise(
         training.mapInPandas(lambda batches: _count(batches, s.flush), "word binary, c long")
@@ -211,89 +357,67 @@ def score_texts(
     n_words, n_distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     ends = training.count()
     total, distinct = n_words + ends, n_distinct + (1 if ends else 0)
-    least = _least_count(counts, s.remembered)
-    frequent = sorted(((bytes(r[0]), r[1]) for r in counts.where(F.col("c") >= least).collect()), key=lambda x: (-x[1], x[0]))
-    head = frequent[: s.outputs]
+    least = _least_count(counts, s.outputs)
+    head = sorted(((bytes(r[0]), r[1]) for r in counts.where(F.col("c") >= least).collect()), key=lambda x: (-x[1], x[0]))
     other_tokens = n_words - sum(c for _, c in head)
     other_kinds = n_distinct - len(head)
-    prior = np.array([*[c for _, c in head], other_tokens, ends], np.float64) + 0.5
-    prior /= prior.sum()
-    number = {w: i for i, (w, _) in enumerate(head)}
-    shared = spark.sparkContext.broadcast((number, {w: c for w, c in frequent}, prior))
-
-    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, _, p = shared.value
-        model = Lbl(p, s)
-        seen = model.fit(_chunks(batches, own, len(p) - 2), 11)
-        if seen:
-            parts = np.array_split(model.flat(), s.blocks)
-            yield pd.DataFrame({"block": range(s.blocks), "tokens": seen, "values": [x.tobytes() for x in parts]})
-
-    def average(block: pd.DataFrame) -> pd.DataFrame:
-        weight = block["tokens"].to_numpy(np.float64)
-        values = np.zeros(len(block["values"].iloc[0]) // 4)
-        for w, x in zip(weight / weight.sum(), block["values"]):
-            values += w * np.frombuffer(x, np.float32)
-        return pd.DataFrame({"block": block["block"].iloc[:1], "values": [values.astype(np.float32).tobytes()]})
-
-    fitted = training.mapInPandas(fit, "block int, tokens long, values binary")
-    blocks = sorted(fitted.groupBy("block").applyInPandas(average, "block int, values binary").collect())
-    flat = np.concatenate([np.frombuffer(b[1], np.float32) for b in blocks]) if blocks else None
-    trained = spark.sparkContext.broadcast(flat)
-
-    def score(texts: pd.Series) -> pd.DataFrame:
-        own, counted, p = shared.value
-        model = Lbl(p, s) if trained.value is None else Lbl(p, s).load(trained.value)
+    outputs = np.array([*[c for _, c in head], other_tokens, ends], np.float64) + 0.5
+    other, kind = len(head), _kind(outputs)
+    logs = np.log10(np.array([c + 1.0 for _, c in head] + [1.0]))
+    numbers = spark.sparkContext.broadcast(({w: i for i, (w, _) in enumerate(head)}, logs))
+
+    def encode(texts: pd.Series) -> pd.DataFrame:
+        number, log_counts = numbers.value
+        out = []
+        for t in texts:
+            words = words_of(t)
+            own = np.array([number.get(w, other) for w in words], kind)
+            rest = np.flatnonzero(own == other).tolist()
+            rare = Counter([words[i] for i in rest])
+            out.append((own.tobytes(), float(log_counts[own].sum()), len(own), len(rest), list(rare), list(rare.values())))
+        return pd.DataFrame(out, columns=["numbers", "base", "n", "others", "words", "times"])
+
+    schema = "numbers binary, base double, n long, others long, words array<binary>, times array<long>"
+    coded = rows.select("row", "held_out", "h", F.pandas_udf(encode, schema)("text").alias("s"), F.monotonically_increasing_id().alias("id"))
+    coded = materialise(coded.select("row", "held_out", "h", "id", "s.*"), "numbered")
+    state = train(coded.where("NOT held_out").select("h", "numbers"), outputs, s) if ends else None
+    trained = spark.sparkContext.broadcast((outputs, state))
+
+    def score(texts: pd.Series) -> pd.Series:
+        own, (vectors, _) = trained.value
+        model = Lbl(own, s)
+        model.rows[...] = vectors
         out = []
         for i in range(0, len(texts), 200):
-            out += _score(model, own, counted, list(texts[i : i + 200]))
-        return pd.DataFrame(out, columns=["n", "known", "base", "model", "others", "words", "times"])
-
-    scored = rows.select(
-        "row", "held_out",
-        F.pandas_udf(
-            score, "n long, known long, base double, model double, others long, words array<binary>, times array<long>"
-        )("text").alias("s"),
-        F.monotonically_increasing_id().alias("id"),
-    )
-    scored = materialise(scored.select("row", "held_out", "id", "s.*"), "scored")
-    rare = scored.select("id", F.explode(F.arrays_zip("words", "times")).alias("w")).select("id", "w.words", "w.times")
+            out += _scores(model, [np.frombuffer(x, kind) for x in texts[i : i + 200]])
+        return pd.Series(out, dtype="float64")
+
+    rare = coded.select("id", F.explode(F.arrays_zip("words", "times")).alias("w")).select("id", "w.words", "w.times")
     found = (
         rare.join(counts.where(F.col("c") < least), F.col("words") == F.col("word"))
         .groupBy("id")
         .agg(F.sum("times").alias("n_rare"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("rare"))
     )
+    own_score = F.pandas_udf(score, "double")("numbers") if ends else F.lit(None).cast("double")
+    scored = coded.select("row", "held_out", "id", "base", "n", "others", own_score.alias("model"))
     done = scored.join(found, "id", "left")
     rare_sum = F.coalesce("rare", F.lit(0.0))
+    n_tokens = F.col("n") + 1
     base = F.col("base") + rare_sum + F.when(F.lit(ends > 0), F.log10(F.lit(float(ends + 1)))).otherwise(0.0)
-    base = base - F.col("n") * F.log10(F.lit(float(total + distinct + 1)))
+    base = base - n_tokens * F.log10(F.lit(float(total + distinct + 1)))
     whole = F.log10(F.lit(float(other_tokens + other_kinds + 1)))
     scores = F.col("model") + rare_sum - F.col("others") * whole
     return done.select(
-        *unpacked(done), "held_out", F.col("n").alias("n_tokens"),
-        (F.col("known") + F.coalesce("n_rare", F.lit(0)) + F.lit(1 if ends else 0)).alias("n_known"),
+        *unpacked(done), "held_out", n_tokens.alias("n_tokens"),
+        (F.col("n") - F.col("others") + F.coalesce("n_rare", F.lit(0)) + F.lit(1 if ends else 0)).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"),
         (scores if ends else base).alias("score"),
     )
 
 
-def _score(model: Lbl, number: dict[bytes, int], counted: dict[bytes, int], texts: list[str | None]) -> list[tuple]:
-    """For each text: tokens; known words among the remembered; their sum of log10(c + 1); log10 of the model's
-    outputs and of the remembered words inside the class of others; words of that class; those not remembered."""
-    other = model.k - 2
-    groups, rows = [], []
-    for text in texts:
-        words = words_of(text)
-        groups.append(np.array([number.get(w, other) for w in words], np.int32))
-        c = np.array([counted.get(w, 0) for w in words], np.int64)
-        logs = np.log10(c + 1.0)
-        rare = Counter(w for w, x in zip(words, c.tolist()) if not x)
-        others = groups[-1] == other
-        rows.append((len(words) + 1, int((c > 0).sum()), float(logs.sum()), float(logs[others].sum()), int(others.sum()), list(rare), list(rare.values())))
+def _scores(model: Lbl, groups: list[np.ndarray]) -> list[float]:
+    """log10 of the model's outputs of each text, its end included."""
     ln = model.log_probs(*model.sequence(groups))
     total = np.concatenate(([0.0], np.cumsum(ln, dtype=np.float64))) / np.log(10)
-    ends = np.cumsum([r[0] for r in rows])
-    return [
-        (n, known, base, float(total[e] - total[e - n]) + inner, others, words, times)
-        for (n, known, base, inner, others, words, times), e in zip(rows, ends)
-    ]
+    ends = np.cumsum([len(g) + 1 for g in groups])
+    return [float(total[e] - total[e - len(g) - 1]) for e, g in zip(ends, groups)]

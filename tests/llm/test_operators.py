@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,7 +46,7 @@ def operators(spark, edges):
         "shards": (lambda d: packing.assign_shards(d), 0),
         "lines": (lambda d: apply_line_rules(d), 0),
         "benchmark": (lambda d: decontaminate.benchmark_hits(d, items, block_chars=8), 0),
-        "scores": (lambda d: log_bilinear.score_texts(d, log_bilinear.LblSettings(outputs=3, remembered=3)), 0),
+        "scores": (lambda d: log_bilinear.score_texts(d, log_bilinear.LblSettings(outputs=3)), 0),
     }
 
 
@@ -200,7 +201,7 @@ def test_quality_finds_junk_and_keeps_clean(spark):
 
 def test_scores_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    got = log_bilinear.score_texts(docs, log_bilinear.LblSettings(outputs=50, remembered=300)).collect()
+    got = log_bilinear.score_texts(docs, log_bilinear.LblSettings(outputs=300)).collect()
     held = {r.doc_id: zlib.crc32(str(r.doc_id).encode()) % 7 == 2 for r in got}
     words = {r.doc_id: [*log_bilinear.words_of(r.text), None] for r in got}
     counts = Counter(w for d, ws in words.items() if not held[d] for w in ws)
@@ -213,13 +214,48 @@ def test_scores_against_brute_force(spark):
     assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
 
 
-def test_log_bilinear_is_normalised():
-    model = log_bilinear.Lbl(np.array([0.4, 0.3, 0.2, 0.1]), log_bilinear.LblSettings(width=4, batch=64))
-    groups = [np.random.default_rng(0).integers(0, 3, 50).astype(np.int32) for _ in range(20)]
-    model.fit(iter([groups]), 1)
-    for a, b in ((0, 1), (4, 4), (1, 4)):
-        every = np.arange(4)
-        assert np.exp(model.log_probs(every, np.full(4, a), np.full(4, b))).sum() == pytest.approx(1, abs=1e-5)
+def test_log_bilinear_is_normalised_and_learns():
+    """Over words of several classes, the class of other words and the end; a word that follows another gains."""
+    settings = log_bilinear.LblSettings(width=4, batch=64)
+    model = log_bilinear.Lbl(np.array([40, 30, 20, 10, 9, 8, 7, 5, 3, 6.5]), settings)
+    assert (model.sizes > 1).any() and model.sizes.sum() == 10
+    every = np.arange(10)
+    before = model.log_probs(every, np.full(10, 3), np.full(10, 0))
+    assert np.exp(before) == pytest.approx(model.prior, rel=0.9)
+    r = np.random.default_rng(0)
+    texts = [np.ravel([(x, 7) if x == 3 else (x, r.integers(0, 3)) for x in r.integers(0, 9, 30)]) for _ in range(200)]
+    model.fit(iter(texts), (1,), chunk=1000)
+    for a, b in ((0, 1), (10, 10), (1, 4), (3, 0)):
+        assert np.exp(model.log_probs(every, np.full(10, a), np.full(10, b))).sum() == pytest.approx(1, abs=1e-5)
+    after = model.log_probs(every, np.full(10, 3), np.full(10, 0))
+    assert after[7] > before[7] + 1 and after.argmax() == 7
+
+
+def test_scores_do_not_depend_on_partitions(spark):
+    """Several groups and rounds, dealt by a hash: one partition or nine give the same scores."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    settings = log_bilinear.LblSettings(outputs=500, rounds=2, group_tokens=2_000)
+    runs = [
+        {r.doc_id: r.score for r in log_bilinear.score_texts(docs.repartition(n), settings, keep_text=False).collect()}
+        for n in (1, 9)
+    ]
+    assert runs[0] == pytest.approx(runs[1], rel=1e-6)
+
+
+def test_averaging_over_many_groups_is_the_weighted_mean():
+    """Sums of groups met in two steps equal those met in one; no touch, no weight."""
+    r = np.random.default_rng(3)
+    touches, rows = r.integers(0, 5, (130, 4)).astype(np.float64), r.random((130, 4, 3)).astype(np.float32)
+    parts = pd.DataFrame({
+        "block": 0, "part": range(130), "touches": [t.tobytes() for t in touches],
+        "sums": [(t[:, None] * x).astype(np.float32).tobytes() for t, x in zip(touches, rows)],
+    })
+    some = pd.concat([log_bilinear._add(g) for _, g in parts.groupby(parts["part"] // log_bilinear.FAN)])
+    got = log_bilinear._add(some)
+    weight = np.frombuffer(got["touches"].iloc[0], np.float64)
+    mean = np.frombuffer(got["sums"].iloc[0], np.float32).reshape(4, 3) / weight[:, None]
+    assert weight.tolist() == touches.sum(axis=0).tolist()
+    assert mean == pytest.approx((touches[:, :, None] * rows).sum(axis=0) / touches.sum(axis=0)[:, None], rel=1e-4)
 
 
 def test_line_rules_remove_and_reject(spark):
