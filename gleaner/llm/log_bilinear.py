@@ -17,11 +17,13 @@ on the partitions of the input.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,7 +46,7 @@ class LblSettings:
     width: int = 16
     rounds: int = 3
     group_tokens: int = 3_000_000
-    batch: int = 2048
+    batch: int = 4096
     noise: int = 32
     noise_per_token: float = 8.0
     word_noise: int = 4
@@ -54,11 +56,26 @@ class LblSettings:
     flush: int = 300_000
 
 
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+def words_of(texts: Iterable[str | None], most: int = 8 << 20) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
+    """For texts of about ``most`` characters at a time: distinct words, the number of each word among them, words per text."""
+    part, size = [], 0
+    for text in texts:
+        part.append(text or "")
+        size += len(part[-1])
+        if size >= most:
+            yield _cut(part)
+            part, size = [], 0
+    if part:
+        yield _cut(part)
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return text.encode().translate(_LOWER).split() if text else []
+def _cut(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.large_string())))
+    full = pc.not_equal(cut.values, "")
+    before = np.concatenate(([0], np.cumsum(full.to_numpy(zero_copy_only=False))))
+    coded = cut.values.filter(full).dictionary_encode()
+    distinct = coded.dictionary.cast(pa.large_binary()).to_pylist()
+    return distinct, coded.indices.to_numpy(), np.diff(before[cut.offsets.to_numpy()])
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -116,7 +133,7 @@ class Lbl:
         """Predictions, with a one behind them for the bias."""
         d, place = self.s.width, self.rows[self.place_at :, : self.s.width]
         out = np.ones((len(a), d + 1), np.float32)
-        out[:, :d] = self.rows[a, :d] @ place[:d] + self.rows[b, :d] @ place[d:]
+        out[:, :d] = self.rows.take(a, axis=0)[:, :d] @ place[:d] + self.rows.take(b, axis=0)[:, :d] @ place[d:]
         return out
 
     def learn(self, target: np.ndarray, a: np.ndarray, b: np.ndarray, r: np.random.Generator) -> None:
@@ -126,45 +143,55 @@ class Lbl:
         h = self.predict(a, b)
         group = self.class_of[target]
         noise = np.searchsorted(self._class_steps, r.random(s.noise)).clip(0, len(self.sizes) - 1)
-        own, others = self.rows[self.class_at + group], self.rows[self.class_at + noise]
+        own, others = self.rows.take(self.class_at + group, axis=0), self.rows[self.class_at + noise]
         log_k = np.float32(np.log(s.noise_per_token))
         up = _sigmoid(self.log_class[group] + log_k - np.einsum("nd,nd->n", h, own))
         down = np.float32(-s.noise_per_token / s.noise) * _sigmoid(h @ others.T - self.log_class[noise] - log_k)
         dh = up[:, None] * own + down @ others
-        at, grads = [self.class_at + group, self.class_at + noise], [up[:, None] * h, down.T @ h]
+        # A gradient is a factor times a row of the sources: predictions, noise of classes, contexts, places.
+        n, each = len(target), np.arange(len(target))
+        shared = down.T @ h
+        at, source, factor = [self.class_at + group], [each], [up]
 
         many = np.flatnonzero(self.sizes[group] > 1)
         if len(many):
-            t, c, hm = target[many], group[many], h[many]
+            t, c, hm = target[many], group[many], h.take(many, axis=0)
             low, high = self._steps[self.starts[c]], self._steps[self.starts[c + 1]]
             draw = low[:, None] + r.random((len(many), s.word_noise)) * (high - low)[:, None]
             wrong = np.searchsorted(self._steps, draw, side="right") - 1
             wrong = np.clip(wrong, self.starts[c][:, None], self.starts[c + 1][:, None] - 1)
             log_k = np.float32(np.log(s.word_noise))
-            own, others = self.rows[self.word_at + t], self.rows[self.word_at + wrong]
+            own, others = self.rows.take(self.word_at + t, axis=0), self.rows.take(self.word_at + wrong, axis=0)
             up = _sigmoid(self.log_inside[t] + log_k - np.einsum("nd,nd->n", hm, own))
             down = -_sigmoid(np.einsum("nd,nkd->nk", hm, others) - self.log_inside[wrong] - log_k)
             dh[many] += up[:, None] * own + np.einsum("nk,nkd->nd", down, others)
             at += [self.word_at + t, (self.word_at + wrong).ravel()]
-            grads += [up[:, None] * hm, (down[:, :, None] * hm[:, None, :]).reshape(-1, d + 1)]
+            source += [many, np.repeat(many, s.word_noise)]
+            factor += [up, down.ravel()]
 
         dh, place = dh[:, :d], self.rows[self.place_at :, :d]
-        for i, x in ((0, a), (d, b)):
-            grad = np.zeros((len(x), d + 1), np.float32)
-            grad[:, :d] = dh @ place[i : i + d].T
-            turn = np.zeros((d, d + 1), np.float32)
-            turn[:, :d] = self.rows[x, :d].T @ dh
-            at += [x, self.place_at + i + np.arange(d)]
-            grads += [grad, turn]
-        self._step(np.concatenate(at), np.concatenate(grads), len(target))
-
-    def _step(self, at: np.ndarray, grads: np.ndarray, weight: int) -> None:
-        order = np.argsort(at, kind="stable")
-        at = at[order]
+        sources = np.zeros((3 * n + s.noise + 2 * d, d + 1), np.float32)
+        sources[:n], sources[3 * n : 3 * n + s.noise] = h, shared
+        for i, x in enumerate((a, b)):
+            sources[n * (i + 1) : n * (i + 2), :d] = dh @ place[i * d : (i + 1) * d].T
+            sources[3 * n + s.noise + i * d :][:d, :d] = self.rows.take(x, axis=0)[:, :d].T @ dh
+        at += [a, b, self.class_at + noise, self.place_at + np.arange(2 * d)]
+        source.append(np.arange(n, len(sources)))
+        factor.append(np.ones(len(sources) - n, np.float32))
+        self._step(np.concatenate(at), sources, np.concatenate(source), np.concatenate(factor), n)
+
+    def _step(self, at: np.ndarray, sources: np.ndarray, source: np.ndarray, factor: np.ndarray, weight: int) -> None:
+        coded = np.sort(at.astype(np.int64) << 32 | np.arange(len(at)))
+        order, at = coded & 0xFFFFFFFF, coded >> 32
         first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-        rows, g = at[first], np.add.reduceat(grads[order], first, axis=0)
-        self.memory[rows] += np.einsum("nd,nd->n", g, g) / g.shape[1]
-        self.rows[rows] += self.s.rate * g / np.sqrt(self.memory[rows])[:, None]
+        rows, g = at[first], sources.take(source[order], axis=0)
+        g *= factor[order][:, None]
+        g = np.add.reduceat(g, first, axis=0)
+        memory = self.memory[rows] + np.einsum("nd,nd->n", g, g) / g.shape[1]
+        self.memory[rows] = memory
+        g *= (self.s.rate / np.sqrt(memory))[:, None]
+        g += self.rows.take(rows, axis=0)
+        self.rows[rows] = g
         self.touched[rows] += np.diff(np.append(first, len(at)))
         self.touched[self.place_at :] += weight
 
@@ -199,40 +226,43 @@ class Lbl:
         out = np.empty(len(target), np.float32)
         for i in range(0, len(target), 1 << 16):
             j = slice(i, i + (1 << 16))
-            out[j] = np.einsum("nd,nd->n", h[which[j]], classes[group[j]])
+            out[j] = np.einsum("nd,nd->n", h.take(which[j], axis=0), classes.take(group[j], axis=0))
         out -= whole[which]
         order = np.argsort(group, kind="stable")
         ends = np.searchsorted(group[order], np.arange(len(self.sizes) + 1))
         for c in np.flatnonzero((np.diff(ends) > 0) & (self.sizes > 1)):
             own = order[ends[c] : ends[c + 1]]
-            seen, place = np.unique(which[own], return_inverse=True)
-            sums = _log_sums(h[seen], words[self.starts[c] : self.starts[c + 1]])
             for i in range(0, len(own), 1 << 16):
                 j = own[i : i + (1 << 16)]
-                out[j] += np.einsum("nd,nd->n", h[which[j]], words[target[j]]) - sums[place[i : i + (1 << 16)]]
+                its = h.take(which[j], axis=0)
+                sums = _log_sums(its, words[self.starts[c] : self.starts[c + 1]])
+                out[j] += np.einsum("nd,nd->n", its, words.take(target[j], axis=0)) - sums
         return out
 
 
 def _log_sums(h: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """Logarithm of the sum of exponentials of each prediction's scores."""
     out = np.empty(len(h), np.float32)
-    for i in range(0, len(h), 4096):
-        scores = h[i : i + 4096] @ vectors.T
-        top = scores.max(axis=1)
-        scores -= top[:, None]
-        np.exp(scores, out=scores)
-        out[i : i + 4096] = top + np.log(scores.sum(axis=1))
+    turned, rows = np.ascontiguousarray(vectors.T), max(64, (1 << 17) // len(vectors))
+    for i in range(0, len(h), rows):
+        scores = h[i : i + rows] @ turned
+        if np.abs(scores).max(initial=0) < 60:  # no sum can leave the range of a float
+            out[i : i + rows] = np.log(np.exp(scores, out=scores).sum(axis=1))
+        else:
+            top = scores.max(axis=1)
+            out[i : i + rows] = top + np.log(np.exp(scores - top[:, None]).sum(axis=1))
     return out
 
 
 def _count(batches: Iterator[pd.DataFrame], flush: int) -> Iterator[pd.DataFrame]:
-    seen: Counter = Counter()
+    seen: dict[bytes, int] = {}
     for batch in batches:
-        for text in batch["text"]:
-            seen.update(words_of(text))
+        for distinct, codes, _ in words_of(batch["text"]):
+            for w, c in zip(distinct, np.bincount(codes, minlength=len(distinct)).tolist()):
+                seen[w] = seen.get(w, 0) + c
             if len(seen) > flush:
                 yield pd.DataFrame({"word": list(seen), "c": list(seen.values())})
-                seen.clear()
+                seen = {}
     if seen:
         yield pd.DataFrame({"word": list(seen), "c": list(seen.values())})
 
@@ -369,12 +399,13 @@ def score_texts(
     def encode(texts: pd.Series) -> pd.DataFrame:
         number, log_counts = numbers.value
         out = []
-        for t in texts:
-            words = words_of(t)
-            own = np.array([number.get(w, other) for w in words], kind)
-            rest = np.flatnonzero(own == other).tolist()
-            rare = Counter([words[i] for i in rest])
-            out.append((own.tobytes(), float(log_counts[own].sum()), len(own), len(rest), list(rare), list(rare.values())))
+        for distinct, codes, lengths in words_of(texts):
+            of = np.array([number.get(w, other) for w in distinct], kind)[codes]
+            ends = np.cumsum(lengths)
+            for first, end in zip((ends - lengths).tolist(), ends.tolist()):
+                own = of[first:end]
+                rare = Counter([distinct[i] for i in codes[first:end][own == other].tolist()])
+                out.append((own.tobytes(), float(log_counts[own].sum()), len(own), sum(rare.values()), list(rare), list(rare.values())))
         return pd.DataFrame(out, columns=["numbers", "base", "n", "others", "words", "times"])
 
     schema = "numbers binary, base double, n long, others long, words array<binary>, times array<long>"

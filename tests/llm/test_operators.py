@@ -1,6 +1,7 @@
 """Corpus operators on small tables: against SQL, brute force, and the edges of input."""
 
 import math
+import re
 import zlib
 from collections import Counter
 
@@ -203,7 +204,7 @@ def test_scores_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = log_bilinear.score_texts(docs, log_bilinear.LblSettings(outputs=300)).collect()
     held = {r.doc_id: zlib.crc32(str(r.doc_id).encode()) % 7 == 2 for r in got}
-    words = {r.doc_id: [*log_bilinear.words_of(r.text), None] for r in got}
+    words = {r.doc_id: [*(r.text or "").encode().lower().split(), None] for r in got}
     counts = Counter(w for d, ws in words.items() if not held[d] for w in ws)
     n, v = sum(counts.values()), len(counts)
     for r in got:
@@ -242,6 +243,15 @@ def test_scores_do_not_depend_on_partitions(spark):
     assert runs[0] == pytest.approx(runs[1], rel=1e-6)
 
 
+def test_words_of_texts_are_those_of_the_contract():
+    texts = [None, "", " \t ", " A b\x0bB\x1fx\r\n", "\u00a0Ü é\u2003É ", "x" * 50 + " y"] * 3
+    got = []
+    for distinct, codes, lengths in log_bilinear.words_of(texts, most=20):
+        got += [[distinct[c] for c in part] for part in np.split(codes, np.cumsum(lengths)[:-1])]
+    plain = [re.findall("[^\\x20\\x09-\\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for t in texts]
+    assert got == [[w.encode() for w in words] for words in plain]
+
+
 def test_averaging_over_many_groups_is_the_weighted_mean():
     """Sums of groups met in two steps equal those met in one; no touch, no weight."""
     r = np.random.default_rng(3)
