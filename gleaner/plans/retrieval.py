@@ -83,10 +83,14 @@ def rag_sonnet(samples: DataFrame, questions: DataFrame, cfg: JobConfig) -> Data
     return _prompted(ctx, questions, prompts.prompt_sonnet)
 
 
-def rag_gemini(samples: DataFrame, questions: DataFrame, cfg: JobConfig, store: Collection) -> DataFrame:
+def rag_gemini(
+    samples: DataFrame, questions: DataFrame, cfg: JobConfig, store: Collection, source: str = "hotpot_qa", split: str = "train"
+) -> DataFrame:
+    """One document a sample, kept in ``store`` with the origin as metadata; a filled store is left as it is."""
     store.check(cfg.embedding_model, cfg.metric, cfg.embed_width)
     rows = passage_rows(samples, cfg, passages.sample_document_list_text)
-    store.fill_if_empty(rows.select("id", "document", "vector"))
+    origin = passages.metadata_source(source, split)
+    store.fill_if_empty(rows.select("id", "document", "vector", origin.alias("metadata")))
     ctx = context.context_plain(search(store.read(samples.sparkSession), questions, cfg))
     return _prompted(ctx, questions, prompts.prompt_gemini)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.vectors import fits_width
@@ -72,6 +72,20 @@ class Collection:
             return False
         return True
 
+    def append_counted(self, rows: DataFrame, valid: Column) -> dict[str, int]:
+        """Append the rows that are ``valid``; ``uploaded, valid, skipped`` are counted by the write itself.
+
+        A null condition skips a row.
+        """
+        counts = Observation()
+        good = F.coalesce(valid, F.lit(False))
+        self.append(
+            rows.observe(
+                counts, F.count(F.lit(1)).alias("uploaded"), F.count_if(good).alias("valid"), F.count_if(~good).alias("skipped")
+            ).where(good)
+        )
+        return dict(counts.get)
+
     def append(self, rows: DataFrame, max_records_per_file: int = 1_000_000) -> None:
         rows.write.mode("append").option("maxRecordsPerFile", max_records_per_file).parquet(self.rows_path)
 

@@ -143,12 +143,12 @@ def upload_bytes(spark, sf):
 
 @query(
     "nonempty_content",
-    f"""WITH {ad.FILES_SQL} SELECT path, trim(text, {ad.SPACE_SQL}) AS text FROM typed
-    WHERE file_type = 'text' AND length(text) > 0""",
+    f"""WITH {ad.FILES_SQL} SELECT path, file_type, trim({TEXT_SQL}, {ad.SPACE_SQL}) AS text FROM typed
+    WHERE present AND file_type IS NOT NULL AND length({TEXT_SQL}) > 0""",
 )
 def nonempty_content(spark, sf):
-    converted = fl.files_to_text(ad.typed_files(spark, sf).where("file_type = 'text'"))
-    return fl.nonempty_content(converted).select("path", "text")
+    converted = fl.files_to_text(ad.typed_files(spark, sf).where(F.col("exists")))
+    return fl.nonempty_content(converted).select("path", "file_type", "text")
 
 
 IMAGE_SQL = f"""WITH {ad.FILES_SQL}, {ad.REQUESTS_SQL},
