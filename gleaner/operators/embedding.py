@@ -92,32 +92,38 @@ def generate_batch(
 ) -> DataFrame:
     """Add ``response, error``: a failed call becomes a value and the job goes on.
 
-    A failed or late batch is retried row by row, so one bad prompt costs only
-    itself. ``timeout`` is in seconds per call.
+    A failed or late batch is asked again by halves, down to the bad prompts. ``timeout`` is in
+    seconds per call.
     """
     from pyspark.sql.types import StringType, StructType
 
     schema = StructType([*df.schema.fields]).add("response", StringType()).add("error", StringType())
 
-    def one(call, text: str) -> tuple[str | None, str | None]:
-        try:
-            reply = call([text])[0]
-        except Exception as e:  # noqa: BLE001 - any failure of the caller's function is data here
-            return None, f"{type(e).__name__}: {e}"
-        return (reply, None) if reply else (None, "empty response")
+    class Client:
+        """The caller's function; a new one after a late call, as the old one may still be busy with that."""
+
+        def __init__(self) -> None:
+            self.call = _timed(factory(), timeout)
+
+        def ask(self, texts: list[str]) -> list[tuple[str | None, str | None]]:
+            try:
+                replies = list(self.call(texts))
+                if len(replies) != len(texts):
+                    raise ValueError("replies do not match prompts")
+            except Exception as e:  # noqa: BLE001 - any failure of the caller's function is data here
+                if isinstance(e, TimeoutError):
+                    self.call = _timed(factory(), timeout)
+                if len(texts) == 1:
+                    return [(None, f"{type(e).__name__}: {e}")]
+                half = len(texts) // 2
+                return self.ask(texts[:half]) + self.ask(texts[half:])
+            return [(r, None) if r else (None, "empty response") for r in replies]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        call = _timed(factory(), timeout)
+        client = Client()
         for pdf in frames:
             for part in _chunks(pdf, batch_rows):
-                texts = part[prompt].tolist()
-                try:
-                    replies = list(call(texts))
-                    if len(replies) != len(texts):
-                        raise ValueError("replies do not match prompts")
-                    pairs = [(r, None) if r else (None, "empty response") for r in replies]
-                except Exception:  # noqa: BLE001
-                    pairs = [one(call, t) for t in texts]
+                pairs = client.ask(part[prompt].tolist())
                 yield part.assign(response=[p[0] for p in pairs], error=[p[1] for p in pairs])
 
     return df.mapInPandas(run, schema)
