@@ -50,7 +50,7 @@ def fingerprint(text: str | None) -> int:
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def _split(points: np.ndarray, seed: int) -> tuple[int, int] | None:
+def _split(points: np.ndarray, seed: int, max_bits: int) -> tuple[int, int] | None:
     """A vantage point and a radius that part ``points`` about evenly; None if none of three does."""
     best = None
     for k in range(3):
@@ -58,28 +58,28 @@ def _split(points: np.ndarray, seed: int) -> tuple[int, int] | None:
         far = np.bitwise_count(points ^ vantage)
         counts = np.cumsum(np.bincount(far, minlength=65))
         for radius in range(64):
-            near, over = counts[min(radius + MAX_BITS, 64)], len(points) - counts[radius]
+            near, over = counts[min(radius + max_bits, 64)], len(points) - counts[radius]
             worst = max(near, over)
             if best is None or worst < best[0]:
                 best = (worst, int(vantage), radius)
     return best[1:] if best[0] <= 0.9 * len(points) else None
 
 
-def draw_tree(sample: np.ndarray, leaf: int) -> list[tuple[int, int, int, int]]:
+def draw_tree(sample: np.ndarray, leaf: int, max_bits: int = MAX_BITS) -> list[tuple[int, int, int, int]]:
     """Nodes ``(vantage, radius, near, far)``; a child that is negative is shard ``-1 - child``."""
     nodes: list[list[int]] = []
     shards = 0
 
     def grow(points: np.ndarray, depth: int) -> int:
         nonlocal shards
-        cut = _split(points, len(nodes) + 1) if len(points) > leaf and depth < 40 else None
+        cut = _split(points, len(nodes) + 1, max_bits) if len(points) > leaf and depth < 40 else None
         if cut is None:
             shards += 1
             return -shards
         at = len(nodes)
         nodes.append([*cut, 0, 0])
         far = np.bitwise_count(points ^ np.uint64(cut[0]))
-        nodes[at][2] = grow(points[far <= cut[1] + MAX_BITS], depth + 1)
+        nodes[at][2] = grow(points[far <= cut[1] + max_bits], depth + 1)
         nodes[at][3] = grow(points[far > cut[1]], depth + 1)
         return at
 
@@ -87,7 +87,9 @@ def draw_tree(sample: np.ndarray, leaf: int) -> list[tuple[int, int, int, int]]:
     return [tuple(n) for n in nodes]
 
 
-def shards_of(points: np.ndarray, nodes: list[tuple[int, int, int, int]]) -> Iterator[tuple[int, np.ndarray]]:
+def shards_of(
+    points: np.ndarray, nodes: list[tuple[int, int, int, int]], max_bits: int = MAX_BITS
+) -> Iterator[tuple[int, np.ndarray]]:
     """``(shard, places in points)`` of every shard that holds some of ``points``."""
     todo = [(0 if nodes else -1, np.arange(len(points)))]
     while todo:
@@ -99,7 +101,7 @@ def shards_of(points: np.ndarray, nodes: list[tuple[int, int, int, int]]) -> Ite
             continue
         vantage, radius, near, far = nodes[node]
         away = np.bitwise_count(points[own] ^ np.uint64(vantage))
-        todo.append((near, own[away <= radius + MAX_BITS]))
+        todo.append((near, own[away <= radius + max_bits]))
         todo.append((far, own[away > radius]))
 
 
@@ -136,12 +138,12 @@ def link_shard(points: np.ndarray, max_bits: int = MAX_BITS) -> Iterator[tuple[i
     todo = [(np.arange(len(points)), 1)]
     while todo:
         own, depth = todo.pop()
-        cut = _split(points[own], depth) if len(own) > SMALL and depth < 60 else None
+        cut = _split(points[own], depth, max_bits) if len(own) > SMALL and depth < 60 else None
         if cut is None:
             _compare(points, own, forest, max_bits)
             continue
         away = np.bitwise_count(points[own] ^ np.uint64(cut[0]))
-        todo.append((own[away <= cut[1] + MAX_BITS], depth + 1))
+        todo.append((own[away <= cut[1] + max_bits], depth + 1))
         todo.append((own[away > cut[1]], depth + 1))
     for i in np.flatnonzero(forest.up != np.arange(len(points))):
         yield int(i), int(forest.root(i))

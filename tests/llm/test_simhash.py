@@ -52,14 +52,14 @@ def test_fingerprint(text):
     assert fingerprint(text) == brute_fingerprint(text)
 
 
-@pytest.mark.parametrize("small", [4, 64])
-def test_shards_and_trees_lose_no_link(monkeypatch, small):
+@pytest.mark.parametrize(("small", "max_bits"), [(4, 3), (64, 3), (4, 6), (64, 6), (4, 0)])
+def test_shards_and_trees_lose_no_link(monkeypatch, small, max_bits):
     monkeypatch.setattr(simhash, "SMALL", small)
     points = clustered(500, 3)
-    nodes = draw_tree(points[::3], 20)
+    nodes = draw_tree(points[::3], 20, max_bits)
     edges = []
-    for _, own in shards_of(points, nodes):
-        edges += [(own[a], own[b]) for a, b in link_shard(points[own])]
+    for _, own in shards_of(points, nodes, max_bits):
+        edges += [(own[a], own[b]) for a, b in link_shard(points[own], max_bits)]
     assert len(nodes) > 3
     root = list(range(len(points)))
 
@@ -71,7 +71,7 @@ def test_shards_and_trees_lose_no_link(monkeypatch, small):
     for a, b in edges:
         a, b = find(a), find(b)
         root[max(a, b)] = min(a, b)
-    assert [find(i) for i in range(len(points))] == brute_groups([int(p) for p in points])
+    assert [find(i) for i in range(len(points))] == brute_groups([int(p) for p in points], max_bits)
 
 
 def test_components_of_a_long_chain(spark):
