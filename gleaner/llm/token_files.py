@@ -12,17 +12,20 @@ exceptions of 1 + 4 bytes.
 
 from __future__ import annotations
 
-import gc
+import json
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from .common import ship
 
@@ -32,14 +35,16 @@ HEAD = 6
 RANKS = np.array([63, 79, 95, 103, 111, 115, 119, 121, 123, 124, 125, 126, 127])
 SEGMENT_IDS = 1 << 18
 END_ID = 2
-#: Entries of a worker's memory of pieces and of parts, and the most characters of a piece in it.
-MEMORY, PIECE = 400_000, 48
-# Fixed value: how the byte-level tokenizer parts a text before its merges, for letters below U+0250.
-_L, _N = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
-_PARTS = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+")
-SEGMENTS = (
-    "part int, segment int, doc_ids array<long>, lengths array<int>, n_ids long, block_starts binary, blocks binary"
-)
+#: Ids in a worker's memory of pieces, bytes of text that it encodes at a time, new pieces in one text, pieces gathered at a time.
+MEMORY, CHUNK, TOGETHER, GATHER = 4_000_000, 8 << 20, 1024, 1 << 18
+# Fixed value: white space.
+_WHITE = r"\t-\r \x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+#: ``before`` counts the ids of the part's earlier segments.
+ARROW = pa.schema([
+    ("part", pa.int32()), ("segment", pa.int32()), ("before", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
+    ("lengths", pa.list_(pa.int32())), ("n_ids", pa.int64()), ("block_starts", pa.binary()), ("blocks", pa.binary()),
+])
+SEGMENTS = from_arrow_schema(ARROW)
 
 
 def pack(ids: np.ndarray) -> tuple[bytes, bytes]:
@@ -117,108 +122,176 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+_SPACE = _byte_letters()[32]
+
+
+def parts_at_spaces(vocabulary: str) -> bool:
+    """Whether a tokenizer file is byte-level with the usual pattern, whole alphabet and nothing before it."""
+    made = json.loads(vocabulary)
+    before, model = made.get("pre_tokenizer") or {}, made.get("model") or {}
+    level = before.get("type") == "ByteLevel" and not before.get("add_prefix_space", True) and before.get("use_regex", True)
+    plain = not any(made.get(k) for k in ("normalizer", "truncation", "padding"))
+    pairs = model.get("type") == "BPE" and not any(
+        model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback")
+    )
+    return bool(level and plain and pairs) and all(c in model["vocab"] for c in _byte_letters().values())
+
+
+#: Marks that the tokenizer's pattern parts from letters before them.
+MARKS = ".,;:!?"
+#: Pieces, all their ids, and how many each has.
+Learnt = tuple[Sequence[str], np.ndarray, np.ndarray]
+
+
 class Encoder:
-    """Ids of texts, with a memory of the pieces between spaces.
+    """Ids of texts, each followed by ``end_id``, with a memory of the pieces between spaces.
 
-    The tokenizer parts a text before every space that has no white space on both sides, so the pieces
-    are encoded alike by themselves; a text with such a space is encoded whole. The new pieces of many
-    texts are parted by the tokenizer's pattern, and the new parts go through its model of merges in one
-    call, told apart by the space they begin with. Pieces with letters outside of Latin, or with a
-    special token, go through the whole tokenizer.
+    A byte-level tokenizer parts a text before every space that has no white space on both sides and does
+    not end the text after white space. So the pieces between spaces are encoded alike by themselves, and a
+    distinct piece of a batch once: many new ones in one text, told apart by the tokens that begin with a
+    space. Texts with other spaces or with an added token are encoded whole, as is every text where the
+    tokenizer file is of another kind (:func:`parts_at_spaces`).
     """
 
-    _odd = re.compile(r"\s \s")
-
-    def __init__(self, vocabulary: str) -> None:
+    def __init__(self, vocabulary: str, end_id: int) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
         self._tokenizer = Tokenizer.from_str(vocabulary)
         self._merges = Tokenizer(self._tokenizer.model)
         self._merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        letters = _byte_letters()
-        self._letters, self._space = letters, letters[32]
+        self._parts = parts_at_spaces(vocabulary)
         tokens = self._tokenizer.get_vocab()
-        self._opens = np.zeros(max(tokens.values()) + 1, bool)
-        self._opens[[i for t, i in tokens.items() if t.startswith(self._space)]] = True
-        self._pieces: dict[str, bytes] = {}
-        self._known_parts: dict[str, bytes] = {}
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        gc.disable()  # millions of small strings and no cycles: a collection would walk them all in vain
-        try:
-            return self._encode(texts)
-        finally:
-            gc.enable()
-
-    def _encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self._pieces) > MEMORY:
-            self._pieces.clear()
-        if len(self._known_parts) > MEMORY:
-            self._known_parts.clear()
-        split = [None if not t or self._odd.search(t) else t.split(" ") for t in texts]
-        new = set().union(*[s[1:] for s in split if s]).difference(self._pieces)
-        plain = [p for p in new if p and p.isascii() or p and max(p) < "\u0250"]
-        plain = [p for p in plain if "<|" not in p and not p.isspace()]
-        passing = {p: self.whole(" " + p) for p in new.difference(plain)}
-        self._learn(plain, passing)
-        get = self._pieces
-        if passing:
-            get = {**passing, **{p: self._pieces[p] for s in split if s for p in s[1:] if p not in passing}}
-        out = []
-        for text, own in zip(texts, split):
-            if own is None:
-                out.append(self.whole(text) if text else b"")
+        self._opens = np.zeros(max(tokens.values(), default=0) + 1, bool)
+        self._opens[[i for t, i in tokens.items() if t.startswith(_SPACE)]] = True
+        added = [re.escape(t["content"]) for t in json.loads(vocabulary).get("added_tokens") or ()]
+        self._odd = "|".join([rf"[{_WHITE}] ([{_WHITE}]|\z)", *added])
+        self._end = np.array([end_id], np.uint32)
+        self._forget()
+
+    def _forget(self) -> None:
+        # texts' first pieces, pieces behind a space; a piece's number gives its place in the pool of ids
+        self._known: tuple[dict[str, int], dict[str, int]] = ({}, {})
+        self._pool, self._starts, self._sizes = self._end, np.zeros(1, np.int64), np.ones(1, np.int64)
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts (null: empty) one after the other, and how many each has, its end included."""
+        if len(self._pool) > MEMORY:
+            self._forget()
+        texts = pc.fill_null(texts, "")
+        odd = np.ones(len(texts), bool)
+        if self._parts:
+            odd = pc.match_substring_regex(texts, self._odd).to_numpy(zero_copy_only=False)
+        split = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
+        count = np.ones(len(texts), np.int64)
+        count[~odd] = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+        pieces, own = split.flatten(), count[~odd]
+        first = np.zeros(len(pieces), bool)
+        first[np.cumsum(own) - own] = True
+        inner = np.empty(len(pieces), np.int64)
+        inner[~first] = self._numbers(pieces.filter(pa.array(~first)), True)
+        inner[first] = self._numbers(pieces.filter(pa.array(first)), False)
+        numbers = np.empty(count.sum(), np.int64)
+        alone = np.repeat(odd, count)
+        numbers[~alone] = inner
+        numbers[alone] = self._numbers(texts.filter(pa.array(odd)), False)
+        ends = np.cumsum(count)
+        numbers = np.insert(numbers, ends, 0)
+        sizes = self._sizes[numbers]
+        lengths = np.add.reduceat(sizes, ends - count + np.arange(len(count))) if len(count) else count
+        out = [self._gather(numbers[i : i + GATHER], sizes[i : i + GATHER]) for i in range(0, len(numbers), GATHER)]
+        return np.concatenate(out) if out else self._end[:0], lengths
+
+    def _gather(self, numbers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        at = np.repeat(self._starts[numbers] - np.cumsum(sizes) + sizes, sizes)
+        return self._pool[at + np.arange(len(at))]
+
+    def _numbers(self, pieces: pa.Array, behind_space: bool) -> np.ndarray:
+        """The number of each piece; new ones are learnt."""
+        coded = pieces.dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        known = self._known[behind_space]
+        new = [p for p in names if p not in known]
+        if new:
+            self._learn(new, known, behind_space)
+        number = np.fromiter(map(known.__getitem__, names), np.int64, len(names))
+        return number[coded.indices.to_numpy(zero_copy_only=False)]
+
+    def _learn(self, new: list[str], known: dict[str, int], behind_space: bool) -> None:
+        """Remember pieces; one of letters and marks at its end is put together from the two, as the tokenizer parts it there."""
+        if not behind_space:
+            return self._add([self._each(new[i : i + TOGETHER], new[i : i + TOGETHER]) for i in range(0, len(new), TOGETHER)], known)
+        marked, own, marks, words, joined, rest = [], [], [], [], [], []
+        for p in new:
+            w = p.rstrip(MARKS)
+            if w.isalpha() and w.isascii():
+                words.append(w)
+                if len(w) < len(p):
+                    marked.append(p)
+                    own.append(w)
+                    marks.append(p[len(w) :])
             else:
-                first = self.whole(own[0]) if own[0] else b""
-                out.append(first + b"".join(map(get.__getitem__, own[1:])))
-        return out
-
-    def _learn(self, pieces: list[str], passing: dict[str, bytes]) -> None:
-        """Remember ``pieces``; long ones only in ``passing``."""
-        own = [_PARTS.findall(" " + p) for p in pieces]
-        parts = set().union(*own).difference(self._known_parts)
-        opening = [p for p in parts if p[0] == " " and len(p) > 1]
-        for i in range(0, len(opening), 256):
-            self._learn_parts(opening[i : i + 256])
-        for p in parts.difference(self._known_parts):
-            self._known_parts[p] = self._part(p)
-        known = self._known_parts.__getitem__
-        for piece, its in zip(pieces, own):
-            ids = known(its[0]) if len(its) == 1 else b"".join(map(known, its))
-            if len(piece) > PIECE:
-                passing[piece] = ids
-            else:
-                self._pieces[piece] = ids
-
-    def _shown(self, part: str) -> str:
-        return part.encode().decode("latin-1").translate(self._letters)
+                (joined if p and not p[0].isspace() else rest).append(p)
+        words = list(set(words).difference(known))
+        learnt = []
+        for pieces, tokenizer, gap in ((words, self._merges, _SPACE), (joined, self._tokenizer, "")):
+            for i in range(0, len(pieces), TOGETHER):
+                some = pieces[i : i + TOGETHER]
+                ids = self._together(some, tokenizer, gap)
+                if ids:
+                    learnt.append(ids)
+                else:
+                    rest += some
+        for i in range(0, len(rest), TOGETHER):
+            learnt.append(self._each([" " + p for p in rest[i : i + TOGETHER]], rest[i : i + TOGETHER]))
+        self._add(learnt, known)
+        if marked:
+            pair = np.empty(2 * len(marked), np.int64)
+            pair[::2] = np.fromiter(map(known.__getitem__, own), np.int64, len(own))
+            pair[1::2] = self._numbers(pa.array(marks, pa.string()), False)
+            sizes = self._sizes[pair]
+            self._add([(marked, self._gather(pair, sizes), sizes[::2] + sizes[1::2])], known)
+
+    def _together(self, pieces: list[str], tokenizer: "Tokenizer", space: str) -> Learnt | None:
+        """All in one text; None if the tokens that begin with a space don't tell them apart."""
+        text = space + f" {space}".join(pieces) if space else " " + " ".join(pieces)
+        ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        starts = np.flatnonzero(self._opens[ids])
+        return (pieces, ids, np.diff(starts, append=len(ids))) if len(starts) == len(pieces) else None
 
-    def _part(self, part: str) -> bytes:
-        return b"".join([t.id.to_bytes(4, "little") for t in self._tokenizer.model.tokenize(self._shown(part))])
+    def _each(self, texts: list[str], pieces: list[str]) -> Learnt:
+        ids = [np.array(m.ids, np.uint32) for m in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return pieces, np.concatenate(ids), np.array([len(x) for x in ids])
 
-    def _learn_parts(self, parts: list[str]) -> None:
-        text = self._shown("\n".join(parts)).replace(self._letters[10], " ")
-        ids = np.array(self._merges.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-        starts = np.flatnonzero(self._opens[ids])
-        if len(starts) == len(parts):
-            raw = ids.tobytes()
-            at = (starts * 4).tolist()
-            for p, a, b in zip(parts, at, [*at[1:], len(raw)]):
-                self._known_parts[p] = raw[a:b]
+    def _add(self, learnt: list[Learnt], known: dict[str, int]) -> None:
+        at = len(self._sizes)
+        for pieces, _, _ in learnt:
+            known.update(zip(pieces, range(at, at + len(pieces))))
+            at += len(pieces)
+        sizes = np.concatenate([self._sizes[:0], *[x[2] for x in learnt]])
+        self._starts = np.concatenate([self._starts, len(self._pool) + np.cumsum(sizes) - sizes])
+        self._sizes = np.concatenate([self._sizes, sizes])
+        self._pool = np.concatenate([self._pool, *[x[1] for x in learnt]])
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def _encoder(vocabulary: str) -> Encoder:
+def _encoder(vocabulary: str, end_id: int) -> Encoder:
     """One for each worker, so that its memory serves later tasks too."""
-    if vocabulary not in _ENCODERS:
-        _ENCODERS[vocabulary] = Encoder(vocabulary)
-    return _ENCODERS[vocabulary]
+    if (vocabulary, end_id) not in _ENCODERS:
+        _ENCODERS[vocabulary, end_id] = Encoder(vocabulary, end_id)
+    return _ENCODERS[vocabulary, end_id]
+
+
+def _chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of about ``CHUNK`` bytes of text; a longer text is one by itself."""
+    size = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    bound = np.flatnonzero(np.diff((np.cumsum(size) - size) // CHUNK)) + 1
+    edges = [0, *bound.tolist(), len(size)]
+    for a, b in zip(edges, edges[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
 
 
 def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_ID, segment_ids: int = SEGMENT_IDS) -> None:
@@ -226,40 +299,45 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = END_
 
     Documents are in ascending ``doc_id`` (nulls first; equal ids by a hash of the text), each followed by
     ``end_id``. A null or empty text is its end alone. Other columns are not looked at. Files and
-    segments number the order: ``part`` the range of ids, ``segment`` the place inside it.
+    segments number the order: ``part`` the range of ids, ``segment`` the place inside it. Any tokenizer file
+    will do; byte-level ones are fast.
     """
     spark = docs.sparkSession
     ship(spark)
     with open(vocabulary, encoding="utf-8") as f:
         shared = spark.sparkContext.broadcast(f.read())
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids_of, end = _encoder(shared.value), np.array([end_id], "<u4").tobytes()
-        part, segment = TaskContext.get().partitionId(), 0
-        docs, lengths, raw, size = [], [], [], 0
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, part = _encoder(shared.value, end_id), TaskContext.get().partitionId()
+        segment = before = size = 0
+        docs, lengths, raw = [], [], []
 
-        def flush() -> pd.DataFrame:
-            ids = np.frombuffer(b"".join(raw), "<u4")
-            starts, blocks = pack(ids)
-            row = (part, segment, docs, lengths, len(ids), starts, blocks)
-            return pd.DataFrame([row], columns=["part", "segment", "doc_ids", "lengths", "n_ids", "block_starts", "blocks"])
+        def flush() -> pa.RecordBatch:
+            starts, blocks = pack(np.concatenate(raw))
+            row = (part, segment, before, docs, lengths, size, starts, blocks)
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, ARROW.types)], schema=ARROW)
 
         for batch in batches:
-            for doc, ids in zip(batch["doc_id"].astype(object), ids_of(list(batch["text"]))):
-                docs.append(None if pd.isna(doc) else int(doc))
-                lengths.append(len(ids) // 4 + 1)
-                raw += [ids, end]
-                size += lengths[-1]
-                if size >= segment_ids:
-                    yield flush()
-                    segment += 1
-                    docs, lengths, raw, size = [], [], [], 0
+            for chunk in _chunks(batch):
+                ids, n = encoder(chunk["text"])
+                at = 0
+                for doc, length in zip(chunk["doc_id"].to_pylist(), n.tolist()):
+                    docs.append(doc)
+                    lengths.append(length)
+                    raw.append(ids[at : at + length])
+                    at += length
+                    size += length
+                    if size >= segment_ids:
+                        yield flush()
+                        segment, before, size = segment + 1, before + size, 0
+                        docs, lengths, raw = [], [], []
+                raw = [x.copy() for x in raw]  # the rest of the chunk's ids can go
         if docs:
             yield flush()
 
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
     ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    ordered.select("doc_id", "text").mapInPandas(encode, SEGMENTS).write.parquet(path)
+    ordered.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, SEGMENTS).write.parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
@@ -267,15 +345,9 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
     ``start`` counts the ids before."""
     ship(spark)
     segments = spark.read.parquet(path)
-    inside = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = segments.select("part", "segment", "n_ids")
-    parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    starts = (
-        sizes.withColumn("inner", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)))
-        .join(F.broadcast(parts), "part")
-        .select("part", "segment", (F.col("first") + F.col("inner")).alias("at"))
-    )
+    # a row for each task that wrote: no more than shuffle partitions
+    parts = segments.groupBy("part").agg(F.sum("n_ids").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -293,6 +365,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
                 })
                 yield frame.assign(ids=own) if with_ids else frame
 
-    return segments.join(F.broadcast(starts), ["part", "segment"]).mapInPandas(
+    placed = segments.join(F.broadcast(parts), "part").withColumn("at", F.col("first") + F.col("before")).drop("first", "before")
+    return placed.mapInPandas(
         decode, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
     )

@@ -90,7 +90,8 @@ def test_token_files(spark, tmp_path):
     from tokenizers import Tokenizer
 
     texts = ["a  b", "a   b", "\n  x", " x", "x ", "   ", "\n \nb", "a \nb", "<|endoftext|> a", "it's 'll don 't", "é ñ 1 22",
-             "a " * 300, "z" * 500 + " y", "a\u0085 b", "日本 語", None, "", "half ½ x² ª"]
+             "a " * 300, "z" * 500 + " y", "a\u0085 b", "日本 語", None, "", "half ½ x² ª", "two  ", "line\n ", "x  <|endoftext|>  y", "and, and,and and!? and.'s and,",
+             "w,\u00a0x .\n, ğ, a\x1c b", "a. " * 4000]
     rows = [(i, t) for i, t in enumerate(texts)] + [(4, "same id"), (None, "no id")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     token_files.write_tokens(docs, str(tmp_path / "t"), vocabulary, segment_ids=100)
@@ -98,6 +99,7 @@ def test_token_files(spark, tmp_path):
     t = Tokenizer.from_file(vocabulary)
     want = Counter((d, tuple(t.encode(x, add_special_tokens=False).ids if x else ()) + (2,)) for d, x in rows)
     assert Counter((r.doc_id, tuple(r.ids)) for r in got) == want
+    assert got[-1].start == sum(len(ids) for _, ids in want.elements()) - got[-1].n_tokens
     assert [r.doc_id for r in got] == sorted((r.doc_id for r in got), key=lambda d: -1 if d is None else d)
     at = 0
     for r in got:
@@ -105,6 +107,23 @@ def test_token_files(spark, tmp_path):
         at += r.n_tokens
 
 
+def test_token_files_of_other_tokenizers_and_tables(spark, tmp_path):
+    path = pytest.importorskip("public_tokenizers").path
+    from tokenizers import Tokenizer
+
+    texts = ["and, two  words", "A  b\n c", "", None, "x" * 5000 + " y", "é, ñ.", "low lower lowest"]
+    docs = spark.createDataFrame([(i, t, 1, "s") for i, t in enumerate(texts)], "doc_id long, text string, part int, before string")
+    assert token_files.parts_at_spaces(open(path("byte_bpe_50k.json"), encoding="utf-8").read())
+    other = path("word_bpe_49k.json")
+    assert not token_files.parts_at_spaces(open(other, encoding="utf-8").read())
+    token_files.write_tokens(docs, str(tmp_path / "o"), other, end_id=7)
+    got = token_files.read_tokens(spark, str(tmp_path / "o")).orderBy("doc_id").collect()
+    t = Tokenizer.from_file(other)
+    assert [r.ids for r in got] == [[*(t.encode(x, add_special_tokens=False).ids if x else []), 7] for x in texts]
+    token_files.write_tokens(docs.limit(0), str(tmp_path / "e"), other)
+    assert token_files.read_tokens(spark, str(tmp_path / "e")).count() == 0
+
+
 def plain_best_fit(sizes, capacity, shards=None):
     left = [capacity] * (shards or 0)
     out = []
