@@ -19,7 +19,6 @@ import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -70,10 +69,7 @@ def pack(ids: np.ndarray) -> tuple[bytes, bytes]:
     for w in np.unique(width):
         own = np.flatnonzero(width == w)
         if w:
-            whole = 16 if w <= 16 else 32
-            low = diff[own].astype(f">u{whole // 8}").view(np.uint8).reshape(len(own), BLOCK, whole // 8)
-            bits = np.unpackbits(low, axis=2)
-            packed = np.packbits(bits[:, :, whole - w :].reshape(len(own), -1), axis=1)
+            packed = _squeeze(diff[own].reshape(-1, 8), w).reshape(len(own), -1)
             out[head[own] + HEAD + np.arange(packed.shape[1])] = packed
     row, place = np.nonzero(outlier)
     if len(row):
@@ -98,10 +94,7 @@ def unpack(block_starts: bytes, blocks: bytes, n_ids: int) -> np.ndarray:
         own = np.flatnonzero(width == w)
         if w:
             packed = data[start[own, None] + HEAD + np.arange(BLOCK // 8 * w)]
-            whole = 16 if w <= 16 else 32
-            bits = np.zeros((len(own), BLOCK, whole), np.uint8)
-            bits[:, :, whole - w :] = np.unpackbits(packed, axis=1).reshape(len(own), BLOCK, w)
-            diff[own] = np.packbits(bits, axis=2).view(f">u{whole // 8}").reshape(len(own), BLOCK)
+            diff[own] = _spread(packed.reshape(-1, w), w).reshape(len(own), BLOCK)
     row = np.repeat(np.arange(n), count)
     if len(row):
         nth = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
@@ -110,6 +103,33 @@ def unpack(block_starts: bytes, blocks: bytes, n_ids: int) -> np.ndarray:
     return (diff + least[:, None]).ravel()[:n_ids]
 
 
+def _squeeze(values: np.ndarray, width: int) -> np.ndarray:
+    """The lowest ``width`` bits of eight values a row, highest bit first, as ``width`` bytes."""
+    out = np.zeros((width, len(values)), np.uint8)
+    low = values.T & np.uint32((1 << width) - 1)
+    for j in range(8):
+        first, last = j * width, (j + 1) * width
+        for byte in range(first // 8, (last + 7) // 8):
+            right = last - 8 * (byte + 1)
+            out[byte] |= (low[j] >> np.uint32(right) if right >= 0 else low[j] << np.uint32(-right)).astype(np.uint8)
+    return out.T
+
+
+def _spread(packed: np.ndarray, width: int) -> np.ndarray:
+    """The eight values a row that :func:`_squeeze` put into ``width`` bytes."""
+    column = np.ascontiguousarray(packed.T)
+    out = np.zeros((8, len(packed)), np.uint32)
+    for j in range(8):
+        first, last = j * width, (j + 1) * width
+        for byte in range(first // 8, (last + 7) // 8):
+            right, have = last - 8 * (byte + 1), column[byte]
+            if first > 8 * byte:
+                have = have & np.uint8(0xFF >> (first - 8 * byte))
+            wide = have.astype(np.uint32)
+            out[j] |= wide << np.uint32(right) if right >= 0 else wide >> np.uint32(-right)
+    return out.T
+
+
 def _bits(values: np.ndarray) -> np.ndarray:
     """Bits that each value needs."""
     return np.frexp(values.astype(np.float64))[1].astype(np.int64)
@@ -122,7 +142,8 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
-_SPACE = _byte_letters()[32]
+_SHOWN = _byte_letters()
+_SPACE = _SHOWN[32]
 
 
 def parts_at_spaces(vocabulary: str) -> bool:
@@ -139,6 +160,8 @@ def parts_at_spaces(vocabulary: str) -> bool:
 
 #: Marks that the tokenizer's pattern parts from letters before them.
 MARKS = ".,;:!?"
+#: Words of letters below this need no parting: the pattern takes them as letters in every version of Unicode.
+LETTERS = "\u0250"
 #: Pieces, all their ids, and how many each has.
 Learnt = tuple[Sequence[str], np.ndarray, np.ndarray]
 
@@ -224,7 +247,7 @@ class Encoder:
         marked, own, marks, words, joined, rest = [], [], [], [], [], []
         for p in new:
             w = p.rstrip(MARKS)
-            if w.isalpha() and w.isascii():
+            if w.isalpha() and (w.isascii() or max(w) < LETTERS):
                 words.append(w)
                 if len(w) < len(p):
                     marked.append(p)
@@ -255,6 +278,9 @@ class Encoder:
     def _together(self, pieces: list[str], tokenizer: "Tokenizer", space: str) -> Learnt | None:
         """All in one text; None if the tokens that begin with a space don't tell them apart."""
         text = space + f" {space}".join(pieces) if space else " " + " ".join(pieces)
+        if space and not text.isascii():
+            text = " ".join(pieces).encode().decode("latin-1").translate(_SHOWN).replace(space, f" {space}")
+            text = space + text
         ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
         starts = np.flatnonzero(self._opens[ids])
         return (pieces, ids, np.diff(starts, append=len(ids))) if len(starts) == len(pieces) else None
@@ -349,23 +375,21 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
     # a row for each task that wrote: no more than shuffle partitions
     parts = segments.groupBy("part").agg(F.sum("n_ids").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
 
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    decoded = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "n_tokens", "ids_crc32")] + [("ids", pa.list_(pa.int64()))] * with_ids)
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for docs, lengths, n, starts, blocks, at in zip(
-                batch["doc_ids"], batch["lengths"], batch["n_ids"], batch["block_starts"], batch["blocks"], batch["at"]
-            ):
-                ids = unpack(starts, blocks, n).astype("<u4")
+            for row in batch.to_pylist():
+                ids = unpack(row["block_starts"], row["blocks"], row["n_ids"]).astype("<u4", copy=False)
+                lengths = np.array(row["lengths"], np.int64)
                 ends = np.cumsum(lengths)
-                own = np.split(ids, ends[:-1])
-                frame = pd.DataFrame({
-                    "doc_id": pd.array([None if pd.isna(d) else int(d) for d in docs], "Int64"),
-                    "start": at + ends - lengths,
-                    "n_tokens": np.asarray(lengths, np.int64),
-                    "ids_crc32": [zlib.crc32(x) for x in own],
-                })
-                yield frame.assign(ids=own) if with_ids else frame
+                whole, edges = memoryview(ids).cast("B"), (4 * ends).tolist()
+                crc = [zlib.crc32(whole[a:b]) for a, b in zip([0, *edges], edges)]
+                columns = [pa.array(row["doc_ids"], pa.int64()), pa.array(row["at"] + ends - lengths), pa.array(lengths), pa.array(crc, pa.int64())]
+                if with_ids:
+                    edges = pa.array(np.concatenate(([0], ends)).astype(np.int32))
+                    columns.append(pa.ListArray.from_arrays(edges, pa.array(ids.astype(np.int64))))
+                yield pa.RecordBatch.from_arrays(columns, schema=decoded)
 
     placed = segments.join(F.broadcast(parts), "part").withColumn("at", F.col("first") + F.col("before")).drop("first", "before")
-    return placed.mapInPandas(
-        decode, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
-    )
+    return placed.mapInArrow(decode, from_arrow_schema(decoded))
