@@ -7,6 +7,8 @@ squared norms are exact in DOUBLE and equal texts tie exactly.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -65,14 +67,18 @@ def densify(sparse: Column, width: int) -> Column:
     return let(sparse, filled)
 
 
-def unit_length(sparse: Column) -> Column:
-    """Scale a sparse vector to unit length in single precision steps."""
+def fold(dense: Column, wide: int, width: int) -> Column:
+    """Counts of ``width`` buckets from those of ``wide``, a multiple of it: the bucket of a token is its hash's remainder."""
+    if wide % width:
+        raise ValueError(f"{width} does not divide {wide}")
+    if wide == width:
+        return dense
+    every = [F.slice(dense, i + 1, width) for i in range(0, wide, width)]
+    return reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), every)
+
+
+def unit_length(dense: Column) -> Column:
+    """Scale a vector to unit length in single precision steps."""
     from .vectors import squared_norm
 
-    return let(
-        F.sqrt(squared_norm(sparse["values"])),
-        lambda n: F.struct(
-            sparse["indices"].alias("indices"),
-            F.transform(sparse["values"], lambda x: (x / n).cast("float").cast("double")).alias("values"),
-        ),
-    )
+    return let(F.sqrt(squared_norm(dense)), lambda n: F.transform(dense, lambda x: (x / n).cast("float").cast("double")))

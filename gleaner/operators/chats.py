@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import iso_seconds, present, strip_text
 from .models import PROVIDERS, provider_of
-from .ordinals import join_hot, paged_lists, with_ordinal, with_running_sum
+from .ordinals import PAGE_BYTES, join_hot, paged_lists, with_ordinal, with_running_sum
 
 # Fixed value: characters of the first message kept in a title.
 TITLE_LENGTH = 40
@@ -55,10 +55,11 @@ def ordered_messages(messages: DataFrame, chats: DataFrame) -> DataFrame:
     return rows.select("chat_id", "position", "role", "content")
 
 
-def chat_history(messages: DataFrame, chats: DataFrame, page_size: int = 1000) -> DataFrame:
+def chat_history(messages: DataFrame, chats: DataFrame, page_size: int = 1000, page_bytes: int = PAGE_BYTES) -> DataFrame:
     """``chat_id, page, messages ARRAY<STRUCT<role, content>>``; see ``paged_lists``."""
-    value = F.struct("role", "content")
-    return paged_lists(_with_system(messages, chats), ["chat_id"], ["turn"], value, "messages", page_size)
+    value, size = F.struct("role", "content"), F.octet_length("content")
+    rows = _with_system(messages, chats)
+    return paged_lists(rows, ["chat_id"], ["turn"], value, "messages", page_size, size=size, page_bytes=page_bytes)
 
 
 def first_user_message(messages: DataFrame) -> DataFrame:

@@ -20,6 +20,8 @@ from ..session import materialise
 
 # Most rows of a few plain columns each that are broadcast.
 THIN_KEYS = 200_000
+# Most bytes of a page's entries; a single entry may be longer.
+PAGE_BYTES = 32 * 1024 * 1024
 # Rows of one key that one task may sort in a window.
 WINDOW_ROWS = 1_000_000
 _PID, _MID = "__pid", "__mid"
@@ -152,6 +154,65 @@ def with_running_sum(
     return _union(parts)
 
 
+def key_positions(df: DataFrame, order: Sequence[str], name: str = "pos", start: int = 0) -> DataFrame | None:
+    """``order`` columns and their position, from these columns alone; None if a key repeats.
+
+    No other column of ``df`` is read, sorted or moved.
+    """
+    stable = _ranged(df.select(*order), (), order, name)
+    if not stable.groupBy(*order).count().where("count > 1").isEmpty():
+        return None
+    placed = _with_prior(stable, _prior(stable, (), F.count(F.lit(1))), ())
+    pos = F.col("__before") + F.col(_MID) - F.col("__first") + F.lit(start)
+    return placed.select(*order, pos.cast("bigint").alias(name))
+
+
+def with_late_position(df: DataFrame, order: Sequence[str], name: str = "pos", start: int = 0) -> DataFrame:
+    """As :func:`with_ordinal` without a key, for rows whose ``order`` is unique and whose other columns are heavy.
+
+    The keys alone are numbered, and the position is joined to the rows: they are not sorted for the numbering
+    nor written, and stay where they are while the numbered keys are small. Rows with a repeated key are
+    numbered whole.
+    """
+    placed = key_positions(df, order, name, start)
+    if placed is None:
+        return with_ordinal(df, order, (), name, start)
+    own = placed.select(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)], name)
+    on = [df[c].eqNullSafe(own[f"__o{i}"]) for i, c in enumerate(order)]
+    return df.join(own, on).select(*[df[c] for c in df.columns], own[name])
+
+
+def with_running(
+    df: DataFrame, order: Sequence[str], keys: Sequence[str], pos: str, sums: dict[str, str], min_rows: int = WINDOW_ROWS
+) -> DataFrame:
+    """Add the position inside the key, from 0, and for each ``name: column`` of ``sums`` the column's sum over earlier rows."""
+    usual, hot = _split_hot(df, keys, min_rows)
+    parts = []
+    if usual is not None:
+        by = Window.partitionBy(*keys).orderBy(*order)
+        before = by.rowsBetween(Window.unboundedPreceding, -1)
+        added = [F.coalesce(F.sum(c).over(before), F.lit(0)).cast("bigint").alias(n) for n, c in sums.items()]
+        parts.append(usual.select("*", (F.row_number().over(by) - 1).cast("bigint").alias(pos), *added))
+    if hot is not None:
+        stable = _ranged(hot, keys, order, pos)
+        sizes = stable.groupBy(*keys, _PID).agg(
+            F.count(F.lit(1)).alias("__rows"), F.min(_MID).alias("__first"), *[F.sum(c).alias(f"__{n}") for n, c in sums.items()]
+        )
+        earlier = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+        totals = {f"__{n}": F.coalesce(F.sum(f"__{n}").over(earlier), F.lit(0)) for n in sums}
+        prior = sizes.withColumns({"__before": F.coalesce(F.sum("__rows").over(earlier), F.lit(0)), **totals})
+        s, p = stable.alias("s"), prior.alias("p")
+        on = [F.col(f"s.{k}").eqNullSafe(F.col(f"p.{k}")) for k in [*keys, _PID]]
+        joined = s.join(p, on).select("s.*", "p.__before", "p.__first", *[f"p.__{n}" for n in sums])
+        inside = Window.partitionBy(*keys, _PID).orderBy(_MID).rowsBetween(Window.unboundedPreceding, -1)
+        added = [
+            (F.col(f"__{n}") + F.coalesce(F.sum(c).over(inside), F.lit(0))).cast("bigint").alias(n) for n, c in sums.items()
+        ]
+        place = (F.col("__before") + F.col(_MID) - F.col("__first")).cast("bigint").alias(pos)
+        parts.append(joined.select(*df.columns, place, *added))
+    return _union(parts)
+
+
 def paged_lists(
     df: DataFrame,
     keys: Sequence[str],
@@ -160,16 +221,29 @@ def paged_lists(
     name: str,
     page_size: int = 1000,
     min_rows: int = WINDOW_ROWS,
+    size: Column | None = None,
+    page_bytes: int = PAGE_BYTES,
 ) -> DataFrame:
-    """Ordered lists per key, split into pages of ``page_size`` entries.
+    """Ordered lists per key, split into pages of at most ``page_size`` entries and ``page_bytes`` bytes.
 
-    Nothing is dropped: the list of a key is the concatenation of its pages. A
-    key within ``page_size`` entries has exactly one page, number 0.
+    Nothing is dropped: the list of a key is the concatenation of its pages, in their numbers' order. A key
+    within both bounds has exactly one page, number 0; where bytes cut, a number may be left out. ``size`` is
+    an entry's bytes (none: only entries count). Entries above half the bound have a page of their own; the
+    others are cut where the sum of their earlier bytes passes a multiple of that half, so that a page never
+    holds more than the bound, unless a single entry does.
     """
-    placed = with_ordinal(df.withColumn("__value", value), order, keys, "__pos", min_rows=min_rows)
+    half = max(1, page_bytes // 2)
+    big = F.coalesce(size, F.lit(0)).cast("bigint") if size is not None else F.lit(0).cast("bigint")
+    rows = df.withColumn("__value", value).withColumn("__bytes", big)
+    rows = rows.withColumns({
+        "__big": (F.col("__bytes") > half).cast("bigint"),
+        "__small": F.when(F.col("__bytes") > half, F.lit(0)).otherwise(F.col("__bytes")).cast("bigint"),
+    })
+    placed = with_running(rows, order, keys, "__pos", {"__bigs": "__big", "__start": "__small"}, min_rows)
     entry = F.struct(F.col("__pos"), F.col("__value"))
+    page = F.floor(F.col("__pos") / page_size) + F.floor(F.col("__start") / half) + 2 * F.col("__bigs") + F.col("__big")
     return (
-        placed.withColumn("page", F.floor(F.col("__pos") / page_size).cast("bigint"))
+        placed.withColumn("page", page.cast("bigint"))
         .groupBy(*keys, "page")
         .agg(F.sort_array(F.collect_list(entry)).alias("__entries"))
         .select(*keys, "page", F.transform("__entries", lambda e: e["__value"]).alias(name))
@@ -185,9 +259,11 @@ def paged_text(
     separator: str = "\n",
     page_size: int = 1000,
     min_rows: int = WINDOW_ROWS,
+    page_bytes: int = PAGE_BYTES,
 ) -> DataFrame:
-    """As :func:`paged_lists`, each page joined to one text."""
-    pages = paged_lists(df, keys, order, value, name, page_size, min_rows)
+    """As :func:`paged_lists`, each page joined to one text; the separators are on top of the bytes."""
+    size = F.octet_length(value)
+    pages = paged_lists(df, keys, order, value, name, page_size, min_rows, size, page_bytes)
     return pages.withColumn(name, F.array_join(name, separator))
 
 

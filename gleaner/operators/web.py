@@ -9,7 +9,7 @@ from ..functions.html import clean_url, page_contents, page_hrefs, page_text, pa
 from ..functions.rows import unnest_rows
 from ..functions.text import present
 from ..session import materialise
-from .ordinals import THIN_KEYS, join_hot, key_counts
+from .ordinals import PAGE_BYTES, THIN_KEYS, join_hot, key_counts, paged_text
 
 # Words that mark a link as worth following or not, and its kind.
 LINK_KINDS = {
@@ -122,21 +122,16 @@ def _sections(pages: DataFrame, linked: DataFrame) -> DataFrame:
     return landing.unionByName(links)
 
 
-def linked_content(pages: DataFrame, linked: DataFrame, page_size: int = 200) -> DataFrame:
-    """Landing page and link contents as text, in parts of at most ``page_size`` sections.
+def linked_content(pages: DataFrame, linked: DataFrame, page_size: int = 200, page_bytes: int = PAGE_BYTES) -> DataFrame:
+    """Landing page and link contents as text, in parts of at most ``page_size`` sections and ``page_bytes`` bytes.
 
-    The part follows from the link's position, so no group grows with the number of
-    links. ``part`` 0 holds everything for a page with fewer links; the whole text of
-    a page is the concatenation of its parts.
+    ``part`` 0 holds everything for a page within both; the whole text of a page is the concatenation of its
+    parts, in their order. Only a single section above the bound makes a part above it.
     """
-    part = F.floor((F.col("section_pos") + 1) / page_size).cast("bigint").alias("part")
-    entry = F.struct("section_pos", "section")
-    return (
-        _sections(pages, linked)
-        .groupBy("page_id", part)
-        .agg(F.sort_array(F.collect_list(entry)).alias("s"))
-        .select("page_id", "part", F.array_join(F.transform("s", lambda e: e["section"]), "").alias("content"))
+    parts = paged_text(
+        _sections(pages, linked), ["page_id"], ["section_pos"], F.col("section"), "content", "", page_size, page_bytes=page_bytes
     )
+    return parts.withColumnRenamed("page", "part")
 
 
 def linked_content_head(pages: DataFrame, linked: DataFrame, cap: int) -> DataFrame:

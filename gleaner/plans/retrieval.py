@@ -9,14 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashed import densify, unit_length
+from ..functions.hashed import densify, fold, hashed_counts, unit_length
 from ..functions.text import truncate_ellipsis
 from ..functions.vectors import cast_float32
 from ..operators import context, passages, prompts
 from ..operators.embedding import embed
 from ..operators.nearest import attach_documents, top_k
-from ..session import JobConfig, scratch_path
-from ..operators.ordinals import with_ordinal
+from ..session import JobConfig, materialise, scratch_path
+from ..operators.ordinals import with_late_position
 from ..sources.collection import Collection
 from ..sources.corpus import ingest_limit
 
@@ -95,28 +95,35 @@ def rag_gemini(
     return _prompted(ctx, questions, prompts.prompt_gemini)
 
 
-def _unit_vectors(df: DataFrame, text: str, width: int) -> DataFrame:
-    """Dense unit vectors in single precision, as the flat index stores them.
+def _unit_vectors(df: DataFrame, text: str, widths: tuple[int, ...], label: str) -> DataFrame:
+    """Dense unit vectors in single precision, as flat indexes store them, one column ``v<width>`` a width.
 
-    A text without tokens keeps a NULL vector, which is never a hit; a filter here
-    would embed every text a second time.
+    Each text is hashed once, to the widest; a width that divides it is folded from it. The table is written,
+    so that no search hashes again. A text without tokens keeps a NULL vector, which is never a hit.
     """
-    sparse = embed(df, text, f"hash-{width}")
-    unit = unit_length(F.col("vector"))
-    return sparse.withColumn("vector", cast_float32(densify(unit, width)))
+    widest = max(widths)
+    rows = embed(df, text, f"hash-{widest}").withColumn("vector", densify(F.col("vector"), widest))
+    other = [w for w in widths if widest % w]
+    for w in other:
+        rows = rows.withColumn(f"v{w}", densify(hashed_counts(F.col(text), w), w))
+    folded = {f"v{w}": fold(F.col("vector"), widest, w) for w in widths if w not in other}
+    units = {f"v{w}": cast_float32(unit_length(F.col(f"v{w}"))) for w in widths}
+    return materialise(rows.withColumns(folded).withColumns(units).drop("vector"), label)
 
 
 def rag_flat(texts: DataFrame, questions: DataFrame, widths: tuple[int, ...], k: int = 3) -> DataFrame:
     """The same questions against one flat index per embedding width.
 
-    ``texts`` has ``key, text``; positions are given once, in key order, and shared
+    ``texts`` has ``key, text``, the key unique; positions are given once, in key order, and shared
     by the indexes; a hit's text comes back by position.
     """
     out = None
-    placed = with_ordinal(texts, ["key"], (), "id").withColumnRenamed("text", "document")
+    placed = with_late_position(texts, ["key"], "id").withColumnRenamed("text", "document")
+    all_rows = _unit_vectors(placed, "document", widths, "flat-rows")
+    all_asked = _unit_vectors(questions, "question", widths, "flat-questions")
     for width in widths:
-        corpus = _unit_vectors(placed, "document", width)
-        asked = _unit_vectors(questions, "question", width)
+        corpus = all_rows.select("id", "document", F.col(f"v{width}").alias("vector"))
+        asked = all_asked.select("query_id", F.col(f"v{width}").alias("vector"))
         hits = top_k(corpus, asked, k, width, "l2")
         ctx = context.context_plain(attach_documents(hits, corpus, questions, k, "document"))
         one = _prompted(ctx, questions, prompts.prompt_flat).withColumn("model", F.lit(f"hash-{width}"))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.vectors import fits_width
-from ..operators.ordinals import with_ordinal
+from ..operators.ordinals import with_late_position
 
 
 def path_missing(error: AnalysisException) -> bool:
@@ -134,13 +134,13 @@ def flat_index(df: DataFrame, order: list[str], width: int | None = None) -> tup
             F.raise_error(wrong).cast("array<float>")
         ),
     )
-    return with_ordinal(checked, order, (), "pos"), width
+    return with_late_position(checked, order), width
 
 
 def batch_numbers(df: DataFrame, order: list[str], size: int) -> DataFrame:
-    """``batch, batches``: batch k of n for each row in ``order``."""
-    n = df.count()
-    placed = with_ordinal(df, order, (), "__pos")
+    """``batch, batches``: batch k of n for each row in ``order``, a unique one."""
+    n = df.select(*order).count()
+    placed = with_late_position(df, order, "__pos")
     return placed.select(
         *df.columns,
         (F.floor(F.col("__pos") / size) + 1).cast("bigint").alias("batch"),

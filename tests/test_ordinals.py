@@ -56,6 +56,34 @@ def test_pages_hold_everything_in_order(spark, min_rows):
         assert joined[k] == [str(o) for kk, o, _ in sorted(data) if kk == k]
 
 
+@pytest.mark.parametrize("min_rows", [10, 1_000_000])
+def test_pages_are_bounded_by_bytes(spark, min_rows):
+    data = [(k, o, "x" * n) for k in (1, None) for o, n in enumerate([3, 3, 9, 2, 30, 4, 4, 4, 1, 0, 11, 5, 5, 5, 5, 1] * 3)]
+    df = spark.createDataFrame(data, "k INT, o INT, t STRING")
+    pages = od.paged_lists(df, ["k"], ["o"], F.struct("o", "t"), "e", 6, min_rows, F.octet_length("t"), 20).collect()
+    for key in (1, None):
+        own = [[(e.o, e.t) for e in r.e] for r in sorted((r for r in pages if r.k == key), key=lambda r: r.page)]
+        assert [e for page in own for e in page] == [(o, t) for k, o, t in data if k == key]
+        assert all(len(page) <= 6 and (len(page) == 1 or sum(len(t) for _, t in page) <= 20) for page in own)
+    free = od.paged_lists(df, ["k"], ["o"], F.col("o"), "e", 100, min_rows, F.octet_length("t"))
+    assert sorted(r.page for r in free.collect()) == [0, 0]
+
+
+def test_positions_move_thin_keys_only(spark, tmp_path):
+    data = [(i * 7 % 101, f"{i}" * 5) for i in range(101)] + [(None, "none")]
+    spark.createDataFrame(data, "i INT, t STRING").write.parquet(str(tmp_path / "p"))
+    df = spark.read.parquet(str(tmp_path / "p"))
+    want = {t: p + 5 for p, (_, t) in enumerate(sorted(data, key=lambda r: -1 if r[0] is None else r[0]))}
+    got = od.with_late_position(df, ["i"], start=5)
+    assert {r.t: r.pos for r in got.collect()} == want and got.columns == ["i", "t", "pos"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "rangepartitioning" in line]
+    assert "t" not in od.key_positions(df, ["i"]).columns
+    twice = df.unionByName(df)
+    assert od.key_positions(twice, ["i"]) is None
+    assert sorted(r.pos for r in od.with_late_position(twice, ["i"]).collect()) == list(range(204))
+
+
 def test_join_hot_salts_and_keeps_rows(spark):
     data, df = rows(spark)
     small = spark.createDataFrame([(k, k * 10) for k in range(40)], "k INT, w INT")
