@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
@@ -139,36 +140,56 @@ def best_mime(candidates: DataFrame) -> DataFrame:
     return candidates.groupBy("path").agg(best.alias("mime"), top.alias("conf"))
 
 
-def _docx_text(data: bytes) -> str | None:
-    """Paragraph texts joined by newline; NULL when the archive cannot be read."""
-    ns = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
+WORD = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
+#: Most bytes of a docx's main part that are unpacked.
+DOCX_BYTES = 64 * 1024 * 1024
+
+
+def _docx_text(data: bytes, most: int = DOCX_BYTES) -> str | None:
+    """Paragraph texts joined by newline; NULL when the archive cannot be read or unpacks to more than ``most`` bytes.
+
+    The size is taken from the archive's directory, beyond which the reader does not go. Paragraphs are
+    pulled from the stream one by one and dropped behind their end.
+    """
+    marks = {f"{WORD}t": None, f"{WORD}tab": "\t", f"{WORD}br": "\n"}
+    out, above = [], []
     try:
         with zipfile.ZipFile(io.BytesIO(data)) as z:
-            root = ElementTree.fromstring(z.read("word/document.xml"))
-    except (zipfile.BadZipFile, KeyError, ElementTree.ParseError):
+            if z.getinfo("word/document.xml").file_size > most:
+                return None
+            with z.open("word/document.xml") as part:
+                for event, node in ElementTree.iterparse(part, ("start", "end")):
+                    if event == "start":
+                        above.append(node)
+                        continue
+                    above.pop()
+                    if len(above) == 2 and above[1].tag == f"{WORD}body":
+                        if node.tag == f"{WORD}p":
+                            out.append("".join((marks[n.tag] or n.text or "") for n in node.iter() if n.tag in marks))
+                        above[1].remove(node)
+    except (zipfile.BadZipFile, zlib.error, KeyError, EOFError, NotImplementedError, RuntimeError, ElementTree.ParseError):
         return None
-    body = root.find(f"{ns}body")
-    marks = {f"{ns}t": None, f"{ns}tab": "\t", f"{ns}br": "\n"}
-    out = []
-    for p in body.findall(f"{ns}p") if body is not None else ():
-        out.append("".join((marks[n.tag] or n.text or "") for n in p.iter() if n.tag in marks))
     return "\n".join(out)
 
 
-@F.pandas_udf(StringType())
-def docx_text(frames: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for s in frames:
-        yield s.map(lambda b: None if b is None else _docx_text(b))
+def docx_text(content: Column, most: int = DOCX_BYTES) -> Column:
+    @F.pandas_udf(StringType())
+    def read(frames: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in frames:
+            yield s.map(lambda b: None if b is None else _docx_text(b, most))
+
+    return read(content)
 
 
-def files_to_text(files: DataFrame, raw_pdf: Column | None = None) -> DataFrame:
+def files_to_text(files: DataFrame, docx_bytes: int = DOCX_BYTES) -> DataFrame:
     """Add ``text, encoding_out, line_count``: decoded text, docx paragraphs or base64.
 
-    Only docx bytes go to Python workers; other rows send NULL there.
+    Only docx bytes go to Python workers; other rows send NULL there. A docx that is broken or unpacks to more
+    than ``docx_bytes`` has no text.
     """
     content, kind = F.col("content"), F.col("file_type")
     decoded = F.try_validate_utf8(content.cast("string"))
-    word = docx_text(F.when(kind == "ms-wordx", content))
+    word = docx_text(F.when(kind == "ms-wordx", content), docx_bytes)
     text = (
         F.when(kind == "text", decoded)
         .when(kind.isin("pdf", "image"), to_base64(content))

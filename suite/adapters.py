@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from pathlib import Path
+from xml.sax.saxutils import escape
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.functions.rows import unnest_rows
+from gleaner.operators.files import WORD
 from gleaner.operators.models import MODELS, with_file_type
 from gleaner.session import JobConfig, ship_package
 from gleaner.sources.corpus import spread
@@ -202,6 +207,35 @@ def files(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: Texts of more bytes get an archive that unpacks to more than the budget; ids with this last digit a broken one.
+DOCX_LONG, DOCX_BUDGET, DOCX_BROKEN = 8_000, 1 << 20, 7
+
+
+def docx_archive(text: str, long: bool, broken: bool) -> bytes:
+    """A text's lines as paragraphs of a docx."""
+    lines = "".join(f"<w:p><w:r><w:t>{escape(t, {chr(13): '&#13;'})}</w:t></w:r></w:p>" for t in text.split("\n"))
+    filler = f"<!--{' ' * DOCX_BUDGET}-->" if long else ""
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("word/document.xml", f'<w:document xmlns:w="{WORD[1:-1]}"><w:body>{filler}{lines}</w:body></w:document>')
+    return out.getvalue()[: len(out.getvalue()) // 2] if broken else out.getvalue()
+
+
+def docx_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as uploaded docx files."""
+
+    @F.pandas_udf("binary")
+    def archive(text: pd.Series, long: pd.Series, broken: pd.Series) -> pd.Series:
+        return pd.Series([docx_archive(*row) for row in zip(text, long, broken)], dtype=object)
+
+    ship(spark)
+    docs = table(spark, sf, "documents").where("text IS NOT NULL")
+    long, broken = F.octet_length("text") > DOCX_LONG, F.col("doc_id") % 10 == DOCX_BROKEN
+    content = archive("text", long, broken)
+    files = docs.select(F.concat(F.lit("/data/"), F.col("doc_id").cast("string"), F.lit(".docx")).alias("path"), content.alias("content"))
+    return files.withColumn("length", F.octet_length("content").cast("bigint"))
+
+
 def typed_files(spark: SparkSession, sf: str) -> DataFrame:
     from gleaner.operators.files import file_info
 

@@ -295,6 +295,18 @@ def files_to_text(spark, sf):
     return _converted(spark, sf).select("path", "file_type", "text", "encoding_out", "line_count")
 
 
+@query(
+    "docx_to_text",
+    f"""SELECT '/data/' || CAST(doc_id AS VARCHAR) || '.docx' AS path, 'ms-wordx' AS file_type,
+      CASE WHEN strlen(text) <= {ad.DOCX_LONG} AND doc_id % 10 <> {ad.DOCX_BROKEN} THEN text END AS text
+    FROM documents WHERE text IS NOT NULL""",
+)
+def docx_to_text(spark, sf):
+    """Archives of all documents, some broken and some too large, which have no text."""
+    typed = md.with_file_type(fl.file_info(ad.docx_files(spark, sf)))
+    return fl.files_to_text(typed, ad.DOCX_BUDGET).select("path", "file_type", "text")
+
+
 @query(
     "file_intake",
     f"""{IMAGE_SQL}, {GATED_SQL}

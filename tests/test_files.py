@@ -28,6 +28,17 @@ def table(spark, *files):
 PNG = b"\x89PNG\r\n\x1a\nxx"
 
 
+def test_docx_is_read_piecewise_within_its_budget():
+    data = docx("one", "", "two")
+    assert fl._docx_text(data) == "one\n\ntwo"
+    size = zipfile.ZipFile(io.BytesIO(data)).getinfo("word/document.xml").file_size
+    assert fl._docx_text(data, size) == "one\n\ntwo" and fl._docx_text(data, size - 1) is None
+    for broken in (b"", data[:40], data[: len(data) // 2], data.replace(b"<w:p>", b"<w:q>", 1), b"PK\x03\x04" + b"x" * 50):
+        assert fl._docx_text(broken) is None
+    nested = docx("a</w:t><w:tab/><w:t>b</w:t><w:br/><w:t>c")
+    assert fl._docx_text(nested) == "a\tb\nc"
+
+
 def test_reasons(spark):
     rows = [
         ("/d/gone.txt", "b", bytearray(b"x"), 1, False, True),

@@ -144,6 +144,44 @@ def test_flat_index_and_batches(spark):
     assert got == [(1, 1, 2), (2, 1, 2), (3, 2, 2)]
 
 
+def test_a_failed_write_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([("a", "x"), ("b", "y")], "id STRING, document STRING")
+    store = co.Collection(str(tmp_path / "c"))
+    store.replace(rows)
+    opened = store.read(spark)
+    bad = rows.withColumn("document", F.when(F.col("id") == "b", F.raise_error(F.lit("broken"))).otherwise(F.col("document")))
+    for write in (store.replace, store.append):  # the table is not whole
+        with pytest.raises(Exception, match="broken"):
+            write(bad)
+    for step in ("_write", "_commit"):  # the table, then the version is never written
+        with monkeypatch.context() as m:
+            m.setattr(co.Collection, step, lambda *a, **k: 1 / 0)
+            for write in (store.replace, store.append):
+                with pytest.raises(ZeroDivisionError):
+                    write(rows.limit(1))
+        assert store.read(spark).count() == 2 and store.version(spark).number == 1
+    before = store.version(spark)
+    store.replace(rows.limit(1))
+    assert store.read(spark).count() == 1 and opened.count() == 2  # a reader stays on its version
+    with pytest.raises(RuntimeError, match="another writer"):
+        store._commit(spark, before, rows.schema, [])
+    other = co.Collection(store.path, "l2", "hash-8", 8)
+    other.replace(rows)  # rows and settings change together
+    assert co.open_collection(spark, store.path) == other
+    other.drop_unused(spark)
+    assert other.read(spark).count() == 2 and len(list((tmp_path / "c").glob("rows-*"))) == 1
+
+
+def test_collections_without_versions_are_read_on(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "x")], "id STRING, document STRING")
+    rows.write.parquet(str(tmp_path / "c/rows"))
+    spark.sql("SELECT 'l2' metric, 'hash-8' model, 8 width").write.parquet(str(tmp_path / "c/settings"))
+    store = co.open_collection(spark, str(tmp_path / "c"))
+    assert store == co.Collection(store.path, "l2", "hash-8", 8) and store.version(spark).number == 0
+    store.append(rows)
+    assert store.read(spark).count() == 2 and store.version(spark).number == 1
+
+
 def test_collection(spark, tmp_path):
     rows = spark.createDataFrame([("a", "x"), ("b", "y")], "id STRING, document STRING")
     store = co.Collection(str(tmp_path / "c"), model="hash-8", width=8)
