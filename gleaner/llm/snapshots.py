@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.ordinals import with_ordinal, with_running_sum
+from ..operators.ordinals import WINDOW_ROWS, join_hot, with_ordinal, with_running
 from ..session import materialise
 
 RESULT = ("conv_id", "n_turns", "n_copies", "rendered")
@@ -25,22 +25,21 @@ def _lane(n: int) -> Column:
     return F.pmod(turn, F.lit(1 << 32))
 
 
-def turn_prefixes(turns: DataFrame) -> DataFrame:
+def turn_prefixes(turns: DataFrame, min_rows: int = WINDOW_ROWS) -> DataFrame:
     """Turns with their place ``pos`` in the conversation from 0 and the hash lanes ``h0..`` of the prefix
     that ends there; written as a table, texts included."""
     rows = turns.select("conv_id", "turn", "role", "text", F.xxhash64("role", "text").alias("tie"))
-    placed = with_ordinal(rows, ["turn", "role", "tie"], ["conv_id"], "pos")
+    placed = with_ordinal(rows, ["turn", "role", "tie"], ["conv_id"], "pos", min_rows=min_rows)
     for n in range(LANES):
         placed = placed.withColumn(f"l{n}", _lane(n))
-    for n in range(LANES):
-        placed = with_running_sum(placed, f"l{n}", ["pos"], ["conv_id"], f"h{n}")
-    return materialise(placed.drop("tie", *[f"l{n}" for n in range(LANES)]), "turn-prefixes")
+    summed = with_running(placed, ["pos"], ["conv_id"], "place", {f"s{n}": f"l{n}" for n in range(LANES)}, min_rows)
+    own = [(F.col(f"s{n}") + F.col(f"l{n}")).alias(f"h{n}") for n in range(LANES)]
+    return materialise(summed.select("conv_id", "turn", "role", "text", "pos", *own), "turn-prefixes")
 
 
 def maximal_conversations(prefixes: DataFrame) -> DataFrame:
     """``conv_id, n_turns, n_copies`` of conversations that no other one continues."""
     lanes = [f"h{n}" for n in range(LANES)]
-    sizes = prefixes.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_turns"))
     last = F.max_by(F.struct(*lanes), "pos")
     whole = prefixes.groupBy("conv_id").agg(last.alias("h"), F.max("pos").alias("pos")).select("conv_id", "pos", "h.*")
     # the proper prefixes: all but those that end where their conversation does, each counted once however common
@@ -56,24 +55,25 @@ def maximal_conversations(prefixes: DataFrame) -> DataFrame:
     return top.select("conv_id", (F.col("pos") + 1).alias("n_turns"), "n_copies")
 
 
-def collapse(turns: DataFrame, page_turns: int = 1000) -> DataFrame:
+def collapse(turns: DataFrame, page_turns: int = 1000, min_rows: int = WINDOW_ROWS, join_rows: int = 100_000) -> DataFrame:
     """Maximal conversations, rendered: ``conv_id, page, n_turns, n_copies, rendered``.
 
     ``turns`` has ``conv_id, turn, role, text``. Turns are ordered by turn, then role, then a hash of the
     text; repeated turns count each. A null role or text is a value of its own and renders as nothing;
     turns without ``conv_id`` form one conversation, which loses to an equal one that has an id. Each turn
     becomes ``<|role|>`` and its text on a line of their own. A conversation is rendered in pages of
-    ``page_turns`` turns, so no task gathers an unbounded one. Other columns are not looked at; an
-    empty table gives an empty result.
+    ``page_turns`` turns, so no task gathers an unbounded one; one with more than ``min_rows`` turns (windows) or
+    ``join_rows`` (join) is spread over tasks. Other columns are not looked at; an empty table gives an empty result.
     """
-    prefixes = turn_prefixes(turns)
+    prefixes = turn_prefixes(turns, min_rows)
     top = maximal_conversations(prefixes)
     line = F.concat(F.lit("<|"), F.coalesce("role", F.lit("")), F.lit("|>\n"), F.coalesce("text", F.lit("")))
-    kept = prefixes.alias("t").join(top.alias("m"), F.col("t.conv_id").eqNullSafe(F.col("m.conv_id")))
+    key = F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("")).alias("key")  # none is a conversation too
+    spread = prefixes.select("conv_id", "pos", "role", "text", key)
+    kept = join_hot(spread, top.select(key, "n_turns", "n_copies"), ["key"], ["pos"], "inner", min_rows=join_rows)
     entries = F.sort_array(F.collect_list(F.struct("pos", line.alias("line"))))
     return (
-        kept.select("t.conv_id", "t.pos", "t.role", "t.text", "m.n_turns", "m.n_copies")
-        .withColumn("page", F.floor(F.col("pos") / page_turns).cast("bigint"))
+        kept.withColumn("page", F.floor(F.col("pos") / page_turns).cast("bigint"))
         .groupBy("conv_id", "page")
         .agg(F.first("n_turns").alias("n_turns"), F.first("n_copies").alias("n_copies"), entries.alias("e"))
         .select("conv_id", "page", "n_turns", "n_copies", F.array_join(F.transform("e", lambda x: x["line"]), "\n").alias("rendered"))

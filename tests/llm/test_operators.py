@@ -314,6 +314,19 @@ def test_snapshots(spark):
     assert snapshots.collapse(turns.limit(0)).count() == 0
 
 
+def test_hot_conversations_are_spread(spark):
+    """One conversation and the turns without id hold most rows; names of helper columns clash."""
+    rows = [(c, t, "u", f"{c} {t}") for c in (1, None) for t in range(120)] + [(2, t, "u", f"1 {t}") for t in range(60)]
+    rows += [(c, t, "b", "x" * c) for c in range(3, 40) for t in range(3)] + [(3, 3, "b", "long " * 50_000)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "turn AS pos", "role AS key", "1 AS l0")
+    plain = {tuple(r) for r in snapshots.collapse(turns, 50).collect()}
+    assert {tuple(r) for r in snapshots.collapse(turns, 50, min_rows=20, join_rows=20).collect()} == plain
+    got = {(r[0], r[1]): r[4] for r in plain}
+    for c in (1, None):
+        assert "\n".join(got[c, p] for p in range(3)) == "\n".join(f"<|u|>\n{c} {t}" for t in range(120))
+    assert (2, 0) not in got and got[3, 0].endswith("long " * 50_000) and len(got) == 6 + 37
+
+
 def test_urls(spark):
     rules = spark.createDataFrame([("b.org", "/", "block"), ("org", "/x", "allow"), ("org", "/", "allow"), (None, "/", "block")], "host string, path string, verdict string")
     rows = [(1, "http://A.b.org/x?y", "p"), (2, None, "p"), (3, "x", "p"), (4, "s://borg/", "p"), (5, "h://b.org", "p"), (5, "h://b.org", "p"), (6, "h://c.org/xy", "p")]
