@@ -501,13 +501,10 @@ def error_as_value(spark, sf):
 
 @query("stream_ingest", f"WITH {ad.BASE_SQL} SELECT id, document FROM p")
 def stream_ingest(spark, sf):
-    ad.ship(spark)
-    schema = spark.read.parquet(f"{sf}/documents.parquet").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
     target = scratch_path(spark, "ingested")
 
     def to_passages(batch):
         return ps.passages_base(ad.as_samples(batch)).select("id", "document")
 
-    jobs.stream_ingest(stream, to_passages, target, scratch_path(spark, "stream")).awaitTermination()
+    jobs.stream_ingest(ad.stream(spark, sf, "documents"), to_passages, target, scratch_path(spark, "stream")).awaitTermination()
     return spark.read.parquet(target).select("id", "document")
