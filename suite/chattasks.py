@@ -367,9 +367,7 @@ def chat_request(spark, sf):
 )
 def stream_chat_store(spark, sf):
     """Current rows with their histories, in pages of two turn numbers. System turns stand for failed calls."""
-    ad.ship(spark)
-    schema = spark.read.parquet(f"{sf}/conversations.parquet").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "conversations.parquet").parquet(sf)
+    source = ad.stream(spark, sf, "conversations")
     minute = F.make_dt_interval(mins=F.col("turn").cast("int"))
     turns = source.select(
         F.col("conv_id").alias("chat_id"), "turn", "role", F.col("text").alias("content"), F.lit("other").alias("model_nm"),
