@@ -2,6 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from functools import partial
+from itertools import groupby
+from operator import itemgetter
+
+import pandas as pd
+from pyarrow.fs import FileSystem
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,15 +53,39 @@ def page_scan(spark, sf):
 
 
 def _document_files(spark, sf) -> str:
-    """A folder tree with a text file for each document; its id is in the path."""
-    folder = scratch_path(spark, "document-files")
-    text = F.coalesce("text", F.lit("")).alias("text")
-    ad.table(spark, sf, "documents").select("doc_id", text).write.partitionBy("doc_id").text(folder)
-    return folder
+    """A folder tree with a text file for each document; its id is in the name.
+
+    The tasks write the files, each into a folder of its own. A folder for every document, as a writer by
+    partition makes, takes far longer to make and to list than the files.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(scratch_path(spark, "document-files"))
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(folder)
+    where = store.makeQualified(folder).toString()
+    text = F.coalesce("text", F.lit("")).cast("binary").alias("text")
+    rows = ad.table(spark, sf, "documents").select(F.col("doc_id").cast("string"), text).sortWithinPartitions("doc_id")
+    rows.mapInPandas(partial(_write_files, where), "n_files long").agg(F.sum("n_files")).collect()
+    return where
+
+
+def _write_files(folder: str, batches):
+    """Files ``doc_id=<id>.txt`` of rows sorted by id; rows that share an id are lines of one file. Each is put in place whole."""
+    store, root = FileSystem.from_uri(re.sub("^file:/+", "/", folder))
+    context = TaskContext.get()
+    own, hidden = f"{root}/{context.partitionId()}", f".{context.taskAttemptId()}"
+    store.create_dir(own)
+    rows = ((i or "", t) for b in batches for i, t in zip(b["doc_id"], b["text"]))
+    n = 0
+    for n, (id_, same) in enumerate(groupby(rows, itemgetter(0)), 1):
+        with store.open_output_stream(f"{own}/{hidden}") as out:
+            out.writelines(part for _, text in same for part in (text, b"\n"))
+        store.move(f"{own}/{hidden}", f"{own}/doc_id={id_}.txt")
+    yield pd.DataFrame({"n_files": [n]})
 
 
 def _doc_id():
-    return F.regexp_extract("path", "doc_id=([0-9]+)/", 1).cast("bigint").alias("doc_id")
+    return F.regexp_extract("path", r"doc_id=(-?[0-9]+)\.txt$", 1).try_cast("bigint").alias("doc_id")
 
 
 @query(

@@ -1,4 +1,6 @@
+import hashlib
 import io
+import os
 import zipfile
 
 from pyspark.sql import functions as F
@@ -7,6 +9,7 @@ from gleaner.operators import files as fl
 from gleaner.operators import models as md
 from gleaner.plans import intake
 from gleaner.sources import corpus
+from suite import scans
 
 SCHEMA = "path STRING, batch STRING, content BINARY, length BIGINT, exists BOOLEAN, is_file BOOLEAN"
 
@@ -135,3 +138,35 @@ def test_limits(spark):
     assert sorted(r.id for r in corpus.ingest_limit(df, 700, ["id"]).collect()) == list(range(700))
     corpus.LAST_KEYS = old
     assert corpus.ingest_hard_cap(df, 10, ["id"]).count() == 10
+
+
+def test_files_of_documents_lie_in_a_folder_for_each_task(spark, tmp_path):
+    texts = {7: "a\nb", -3: None, 12: "", None: "é", 2**60 + 1: "x\n"}
+    rows = [(i, t, "en", "s", 0) for i, t in texts.items()] + [(i, str(i), "en", "s", 0) for i in range(100, 400)]
+    spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT").coalesce(1).write.parquet(
+        str(tmp_path / "documents.parquet")
+    )
+    want = {i: t or "" for i, t, *_ in rows}
+    folder = scans._document_files(spark, str(tmp_path)).removeprefix("file:")
+    found = [(where, name) for where, _, names in os.walk(folder) for name in names]
+    assert len(found) == len(want) and len({where for where, _ in found}) <= 8
+    got = {r.doc_id: (r.size_bytes, r.content_md5) for r in scans.file_scan(spark, str(tmp_path)).collect()}
+    assert got == {i: (len(t.encode()) + 1, hashlib.md5(t.encode() + b"\n").hexdigest()) for i, t in want.items()}
+    lines = sorted((str(r.doc_id), r.line) for r in scans.line_scan(spark, str(tmp_path)).collect())
+    assert lines == sorted((str(i), line) for i, t in want.items() for line in t.split("\n"))
+
+
+def test_a_tree_of_small_files_is_read_by_few_tasks(spark, tmp_path):
+    for i in range(200):
+        (tmp_path / f"{i}.txt").write_text(f"{i}\n")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")  # a split for each file
+    try:
+        most = 8 * spark.sparkContext.defaultParallelism
+        names = ("path", "content"), ("path", "line")
+        for (path, value), scan in zip(names, (corpus.file_scan(spark, str(tmp_path)), corpus.line_scan(spark, str(tmp_path)))):
+            assert scan.rdd.getNumPartitions() == most < 200
+            got = {(os.path.basename(r[path]), bytes(r[value]) if value == "content" else r[value].encode() + b"\n") for r in scan.collect()}
+            assert got == {(f"{i}.txt", f"{i}\n".encode()) for i in range(200)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
