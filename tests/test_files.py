@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 import io
 import os
@@ -170,3 +171,25 @@ def test_a_tree_of_small_files_is_read_by_few_tasks(spark, tmp_path):
             assert got == {(f"{i}.txt", f"{i}\n".encode()) for i in range(200)}
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_lines_of_files_read_whole_are_those_of_the_text_reader(spark, tmp_path, monkeypatch):
+    odd = {
+        "a": b"a\nb", "b": b"a\r\nb\rc\n", "c": b"\n\n\r", "d": b"", "e": b"\xef\xbb\xbfa\n\xef\xbb\xbfb", "f": b"\xef\xbb\xbf",
+        "g": b"x\xff\xfe\n\xc3\n", "h": "\u00e9\u2028\U0001f600\x00\n \t\n".encode(), "i": b"\xef\xbb\xbf\n\xff", "j k%[1]": b"\r\r\n\r",
+        "long": b"line\r\n" * 50 + b"end",
+    }
+    for name, content in odd.items():
+        (tmp_path / f"{name}.txt").write_bytes(content)
+    (tmp_path / "packed.gz").write_bytes(gzip.compress(b"p\nq\n"))
+    plain = spark.read.text(str(tmp_path)).selectExpr("_metadata.file_path path", "CAST(value AS BINARY) line")
+    want = sorted((r.path, bytes(r.line)) for r in plain.collect())
+    for most in (4 << 20, 100, 0):
+        monkeypatch.setattr(corpus, "WHOLE_FILE", most)
+        got = corpus.line_scan(spark, str(tmp_path))
+        assert sorted((r.path, bytes(r.line)) for r in got.selectExpr("path", "CAST(line AS BINARY) line").collect()) == want
+        readers = [kind for kind in ("binaryFile", "Format: Text") if kind in got._jdf.queryExecution().executedPlan().toString()]
+        assert readers == ["binaryFile", "Format: Text"]
+    monkeypatch.setattr(corpus, "WHOLE_FILE", 4 << 20)
+    plan = corpus.line_scan(spark, str(tmp_path), "*.txt")._jdf.queryExecution().executedPlan().toString()
+    assert "binaryFile" in plan and "Format: Text" not in plan
