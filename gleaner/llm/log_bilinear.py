@@ -34,6 +34,8 @@ from .packing import size_class
 RESULT = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 #: Parameter rows of a block, groups whose sums meet in one task, and the most tasks of a round.
 BLOCK_ROWS, FAN, MOST_TASKS = 4096, 64, 20_000
+#: Cells of the table that noise is looked up in, a power of two.
+CELLS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -117,6 +119,7 @@ class Lbl:
         self.touched = np.zeros(len(self.rows), np.float32)
         # Rising within and over all classes: a draw inside a class is a draw between two of its steps.
         self._steps, self._class_steps = np.concatenate(([0], np.cumsum(self.prior))), np.cumsum(self.class_prior)
+        self._cells = np.searchsorted(self._steps, np.arange(CELLS + 1) / CELLS, side="right").astype(np.int32)
 
     def sequence(self, groups: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Targets of texts (numbers below H+1, without the end) and the two contexts of each."""
@@ -136,6 +139,14 @@ class Lbl:
         out[:, :d] = self.rows.take(a, axis=0)[:, :d] @ place[:d] + self.rows.take(b, axis=0)[:, :d] @ place[d:]
         return out
 
+    def _place(self, draw: np.ndarray) -> np.ndarray:
+        """Steps up to each draw. Of even cells, all but those in which a step lies have one answer; the rest is searched."""
+        cell = np.minimum(draw.ravel() * CELLS, CELLS - 1).astype(np.int32)
+        out = self._cells.take(cell)
+        open_ = np.flatnonzero(out != self._cells.take(cell + 1))
+        out[open_] = np.searchsorted(self._steps, draw.ravel()[open_], side="right")
+        return out.reshape(draw.shape)
+
     def learn(self, target: np.ndarray, a: np.ndarray, b: np.ndarray, r: np.random.Generator) -> None:
         """One step of noise-contrastive estimation, of classes with noise that the batch shares and of words inside
         their class with noise of their own; each touched row moves by its own rate (Adagrad)."""
@@ -158,7 +169,7 @@ class Lbl:
             t, c, hm = target[many], group[many], h.take(many, axis=0)
             low, high = self._steps[self.starts[c]], self._steps[self.starts[c + 1]]
             draw = low[:, None] + r.random((len(many), s.word_noise)) * (high - low)[:, None]
-            wrong = np.searchsorted(self._steps, draw, side="right") - 1
+            wrong = self._place(draw) - 1
             wrong = np.clip(wrong, self.starts[c][:, None], self.starts[c + 1][:, None] - 1)
             log_k = np.float32(np.log(s.word_noise))
             own, others = self.rows.take(self.word_at + t, axis=0), self.rows.take(self.word_at + wrong, axis=0)
@@ -186,7 +197,7 @@ class Lbl:
         first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
         rows, g = at[first], sources.take(source[order], axis=0)
         g *= factor[order][:, None]
-        g = np.add.reduceat(g, first, axis=0)
+        g = _sums(g, first)
         memory = self.memory[rows] + np.einsum("nd,nd->n", g, g) / g.shape[1]
         self.memory[rows] = memory
         g *= (self.s.rate / np.sqrt(memory))[:, None]
@@ -240,13 +251,24 @@ class Lbl:
         return out
 
 
+def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of runs of rows, given where each begins; most runs are single rows, which need none."""
+    ends = np.append(first[1:], len(values))
+    out, many = values.take(first, axis=0), np.flatnonzero(ends - first > 1)
+    if len(many):
+        bounds = np.column_stack([first[many], ends[many]]).ravel()
+        out[many] = np.add.reduceat(values, bounds[:-1] if bounds[-1] == len(values) else bounds, axis=0)[::2]
+    return out
+
+
 def _log_sums(h: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """Logarithm of the sum of exponentials of each prediction's scores."""
     out = np.empty(len(h), np.float32)
     turned, rows = np.ascontiguousarray(vectors.T), max(64, (1 << 17) // len(vectors))
+    bound = 1.01 * np.sqrt(np.einsum("nd,nd->n", h, h).max(initial=0) * np.einsum("nd,nd->n", vectors, vectors).max(initial=0))
     for i in range(0, len(h), rows):
         scores = h[i : i + rows] @ turned
-        if np.abs(scores).max(initial=0) < 60:  # no sum can leave the range of a float
+        if bound < 60 or max(scores.max(initial=0), -scores.min(initial=0)) < 60:  # no sum can leave the range of a float
             out[i : i + rows] = np.log(np.exp(scores, out=scores).sum(axis=1))
         else:
             top = scores.max(axis=1)

@@ -234,6 +234,21 @@ def test_scores_against_brute_force(spark):
     assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
 
 
+def test_log_bilinear_short_cuts_change_no_number():
+    r = np.random.default_rng(1)
+    model = log_bilinear.Lbl(np.sort(r.zipf(1.2, 3_000).clip(max=10**9).astype(float))[::-1] + 0.5, log_bilinear.LblSettings())
+    draw = np.concatenate([r.random(5_000), model._steps, np.nextafter(model._steps, 0), [1 - 2**-53]]).reshape(-1, 1)
+    assert np.array_equal(model._place(draw), np.searchsorted(model._steps, draw, side="right"))
+    for at in ([0], [0, 1], [0, 0], [0, 1, 1, 2, 2, 2, 5], [0, 0, 3, 4, 4], np.sort(r.integers(0, 50, 400))):
+        first = np.flatnonzero(np.diff(at, prepend=-1))
+        values = r.standard_normal((len(at), 5)).astype(np.float32)
+        assert np.array_equal(log_bilinear._sums(values, first), np.add.reduceat(values, first, axis=0))
+    for size in (0.1, 5.0, 50.0):  # within the bound, within reach, and beyond a float
+        h, v = r.standard_normal((200, 17)) * size, r.standard_normal((30, 17)) * size
+        got = log_bilinear._log_sums(h.astype(np.float32), v.astype(np.float32))
+        assert got == pytest.approx(np.logaddexp.reduce(h @ v.T, axis=1), rel=1e-3)
+
+
 def test_log_bilinear_is_normalised_and_learns():
     """Over words of several classes, the class of other words and the end; a word that follows another gains."""
     settings = log_bilinear.LblSettings(width=4, batch=64)
