@@ -25,6 +25,8 @@ from . import adapters as ad
 from .registry import query
 
 EXCLUDED = ("src1", "src7/")
+# Files of a folder of documents: many folders are listed in parallel.
+FOLDER_FILES = 4_096
 
 
 @query("corpus_scan", "SELECT doc_id, text, source, lang FROM documents WHERE lang = 'en'")
@@ -55,8 +57,8 @@ def page_scan(spark, sf):
 def _document_files(spark, sf) -> str:
     """A folder tree with a text file for each document; its id is in the name.
 
-    The tasks write the files, each into a folder of its own. A folder for every document, as a writer by
-    partition makes, takes far longer to make and to list than the files.
+    The tasks write the files, each into folders of its own. A folder for every document, as a writer by
+    partition makes, takes far longer to make and to list than the files; a few large ones are listed by the driver alone.
     """
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     folder = hadoop.Path(scratch_path(spark, "document-files"))
@@ -73,11 +75,13 @@ def _write_files(folder: str, batches):
     """Files ``doc_id=<id>.txt`` of rows sorted by id; rows that share an id are lines of one file. Each is put in place whole."""
     store, root = FileSystem.from_uri(re.sub("^file:/+", "/", folder))
     context = TaskContext.get()
-    own, hidden = f"{root}/{context.partitionId()}", f".{context.taskAttemptId()}"
-    store.create_dir(own)
+    own, hidden = "", f".{context.taskAttemptId()}"
     rows = ((i or "", t) for b in batches for i, t in zip(b["doc_id"], b["text"]))
     n = 0
     for n, (id_, same) in enumerate(groupby(rows, itemgetter(0)), 1):
+        if n % FOLDER_FILES == 1:
+            own = f"{root}/{context.partitionId()}-{n // FOLDER_FILES}"
+            store.create_dir(own)
         with store.open_output_stream(f"{own}/{hidden}") as out:
             out.writelines(part for _, text in same for part in (text, b"\n"))
         store.move(f"{own}/{hidden}", f"{own}/doc_id={id_}.txt")
