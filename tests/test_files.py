@@ -6,6 +6,7 @@ import zipfile
 from types import SimpleNamespace
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from gleaner.operators import files as fl
@@ -206,3 +207,45 @@ def test_lines_of_files_read_whole_are_those_of_the_text_reader(spark, tmp_path,
     monkeypatch.setattr(corpus, "WHOLE_FILE", 4 << 20)
     plan = corpus.line_scan(spark, str(tmp_path), "*.txt")._jdf.queryExecution().executedPlan().toString()
     assert "binaryFile" in plan and "Format: Text" not in plan
+
+
+@pytest.mark.parametrize("kind", ["files", "lines"])
+def test_a_large_tree_is_listed_by_tasks(spark, tmp_path, monkeypatch, kind):
+    """The names of its files are not on the driver, and the rows are those of Spark's readers."""
+    for name in ("a b.txt", "j k%[1]*.txt", "é#? {x}.txt", "_h.txt", "_a=b.txt", ".h.txt", "x.txt._COPYING_", "y.py", "empty.txt"):
+        (tmp_path / name).write_bytes(b"" if name == "empty.txt" else f"{name}\r\n\rend".encode())
+    for sub in ("s=1/deep/er", "_s", ".s", "none/none", "many"):
+        (tmp_path / sub).mkdir(parents=True)
+        (tmp_path / sub / "in.txt").write_bytes(b"x\xff\n" if sub != "many" else b"line\n" * 500)
+    for i in range(40):
+        (tmp_path / "many" / f"{i}.txt").write_text(f"{i}\n")
+    (tmp_path / "many" / "p.txt.gz").write_bytes(gzip.compress(b"p\nq\n"))
+    for most, where, glob in ((4 << 20, "", "*.txt"), (1_000, "", None), (0, "/[ms]*", "[!ye]*.{txt,txt.gz}")):
+        monkeypatch.setattr(corpus, "WHOLE_FILE", most)
+        path = f"{tmp_path}{where}"
+        reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob or "*")
+        if kind == "files":
+            plain = reader.format("binaryFile").load(path).select("path", "length", "modificationTime", "content")
+        else:
+            plain = reader.text(path).selectExpr("_metadata.file_path path", "CAST(value AS BINARY) line")
+        monkeypatch.setattr(corpus, "DRIVER_FILES", 0, raising=False)
+        got = corpus.file_scan(spark, path, glob=glob) if kind == "files" else corpus.line_scan(spark, path, glob)
+        rows = got if kind == "files" else got.select("path", F.col("line").cast("binary"))
+        assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, plain.collect())) != []
+        known = [f for f in got.inputFiles() if f.startswith(f"file://{tmp_path}")]
+        assert len(known) < plain.select("path").distinct().count() or most == 0
+        if kind == "files":
+            names = corpus.file_scan(spark, path, False, glob)
+            assert sorted(map(tuple, names.collect())) == sorted(tuple(r)[:3] for r in plain.collect())
+            assert not [f for f in names.inputFiles() if f.startswith(f"file://{tmp_path}")]
+
+
+def test_a_small_tree_and_other_stores_are_left_to_the_reader(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.txt").write_text("a\n")
+    assert corpus._tree(spark, str(tmp_path), None) is None
+    monkeypatch.setattr(corpus, "DRIVER_FILES", 0)
+    assert corpus._tree(spark, f"{tmp_path}/a.txt", None) is None and corpus._tree(spark, f"{tmp_path}/none", None) is None
+    assert corpus._tree(spark, str(tmp_path), None) is not None
+    monkeypatch.setattr(corpus, "_store", lambda base: corpus.FileSystem.from_uri("viewfs-like://store/"))
+    assert corpus._tree(spark, str(tmp_path), None) is None
+    assert [r.line for r in corpus.line_scan(spark, str(tmp_path)).collect()] == ["a"]
