@@ -372,3 +372,33 @@ def test_rows_of_one_id_have_a_fixed_order(spark):
         docs = spark.createDataFrame([(1, t, "s") for t in rows], "doc_id long, text string, source string").coalesce(1)
         plans.append({r.text: r.positions for r in mixing.plan_mix(docs).collect()})
     assert plans[0] == plans[1]
+
+
+def test_a_model_of_more_text_is_sharded_and_counts_all_of_it(spark, edges, monkeypatch):
+    monkeypatch.setattr(kneser_ney.sharded, "SLICE_CHARS", 60_000)
+    monkeypatch.setattr(kneser_ney.sharded, "BUCKET_GRAMS", 3_000)
+    monkeypatch.setattr(kneser_ney.sharded, "PACK_BYTES", 50_000)
+    own, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    docs = own.select(F.col("doc_id") + 100, "text", "lang").toDF("doc_id", "text", "lang").unionByName(edges.select("doc_id", "text", "lang"))
+    labels = labels.select(F.col("doc_id") + 100, "quality", "toxic").toDF("doc_id", "quality", "toxic")
+    labels = labels.unionByName(spark.createDataFrame([(i, 1, None) for i in (1, 2, 3, 5, 6)], "doc_id long, quality int, toxic int"))
+    names = ["doc_id", "text", "lang", "n_tokens", "log_prob", "threshold", "kept"]
+
+    def scored(chars):
+        got = kneser_ney.score_quality(docs, labels, kneser_ney.QualityModel(train_chars=chars)).select(names).toPandas()
+        return got.sort_values(["doc_id", "text", "lang"]).reset_index(drop=True)
+
+    whole, shards = scored(10**9), scored(1)
+    assert len(whole) == docs.count()
+    pd.testing.assert_frame_equal(whole, shards, rtol=1e-5)
+
+
+def test_only_its_own_scratch_tables_are_dropped(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "given"))
+    given, tables = spark.read.parquet(str(tmp_path / "given")), kneser_ney.sharded._Tables(spark)
+    with pytest.raises(KeyError):
+        tables.drop(given)
+    with pytest.raises(ValueError):
+        kneser_ney.sharded._delete(spark, str(tmp_path / "given"))
+    tables.drop(tables.add(given, "own"))
+    assert given.count() == 3
